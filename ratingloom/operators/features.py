@@ -7,10 +7,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratingloom.checkpoints import stage
-from ratingloom.functions.numbers import coerce_number, encode_true, parse_number, parse_rating
-from ratingloom.functions.numbers import strip_number
+from ratingloom.functions.numbers import (
+    coerce_number,
+    encode_true,
+    parse_number,
+    parse_rating,
+    strip_number,
+)
 from ratingloom.operators.lookup import unique_lookup
 from ratingloom.operators.position import number_rows, order_position, row_position
 
@@ -62,6 +68,13 @@ def require_ratings(df: DataFrame, rating: str = "rating") -> None:
         raise ValueError(f"Found {bad} rows with missing or invalid '{rating}'")
 
 
+def na_to_null(df: DataFrame) -> DataFrame:
+    """The placeholder ``NA`` in the merged text columns means no value."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    used = [c for c in (*BASE, *PRODUCT_NUMBERS, *PRODUCT_CATEGORIES, "rating") if c in text]
+    return df.withColumns({c: F.nullif(F.col(c), F.lit("NA")) for c in used})
+
+
 def category_codes(df: DataFrame, column: str, code: str | None = None) -> DataFrame:
     """Dictionary ``column, code``: index among the sorted distinct values, NULL as
     the empty string.  Only distinct values are sorted, in parallel."""
@@ -75,6 +88,7 @@ def fit_categories(
     df: DataFrame, columns: Sequence[str] = PRODUCT_CATEGORIES
 ) -> dict[str, DataFrame]:
     """A dictionary frame ``<column>, <column>_code`` per column present."""
+    df = na_to_null(df)
     return {c: stage(category_codes(df, c), f"codes-{c}") for c in columns if c in df.columns}
 
 
@@ -119,9 +133,10 @@ def feature_frame(
 ) -> DataFrame:
     """Numeric features in model order from merged rows, plus ``label`` when rated.
 
-    NULLs become 0.0.  ``keep`` names further columns to carry (an id, a position);
+    ``NA`` counts as NULL, NULLs become 0.0.  ``keep`` names further columns to carry (an id, a position);
     ``as_float`` narrows the features to 32 bits.
     """
+    merged = na_to_null(merged)
     order = feature_columns(merged.columns, texts)
     exprs = numeric_core(merged, parse_first)
     for c in embedding_columns(merged.columns, texts):
