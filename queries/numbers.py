@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from queries.joining import merged, merged_sql
 from queries.registry import query
 from queries.views import LINE_ORDER, ORDER_SQL, SQL, table, view
-from ratingloom.checkpoints import scratch_path
+from ratingloom.checkpoints import scratch_path, stage
 from ratingloom.functions.numbers import (
     clip_rating,
     coerce_number,
@@ -31,6 +31,7 @@ from ratingloom.operators.features import (
     with_row_ids,
 )
 from ratingloom.operators.position import number_rows, order_position
+from ratingloom.operators.products import merged_projection
 from ratingloom.operators.reports import (
     prediction_distribution,
     prediction_stats,
@@ -168,7 +169,7 @@ from m"""
 
 def scalar_features(spark: SparkSession, sf_dir: str, keep=("id",)) -> DataFrame:
     """Feature frame of the merged reviews, without text columns."""
-    rows = merged(spark, sf_dir)
+    rows = stage(merged_projection(merged(spark, sf_dir)), "merged")
     return feature_frame(rows, fit_categories(rows), texts=(), keep=keep)
 
 

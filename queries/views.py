@@ -143,7 +143,12 @@ SQL = _texts("duckdb", {t: t for t in TABLES})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table.  A file of one row group would keep a single task busy with all
+    the work behind the scan, so a scan of fewer tasks than cores is spread first;
+    tables of many row groups are read as they lie."""
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,25 +16,31 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Blanks are Unicode white space plus the four ASCII separators.
-_BLANK = r"[\s\x1C-\x1F]"
-_NOT_BLANK = r"(?U)[^\s\x1C-\x1F]"
-_OUTER_BLANKS = rf"(?U)^{_BLANK}+|{_BLANK}+\z"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_BLANK = rf"[{BLANKS}]"
+_NOT_BLANK = rf"[^{BLANKS}]"
 _DIGITS = r"\p{Nd}+(?:_\p{Nd}+)*"
-_INTEGER = rf"(?U)^{_BLANK}*[+-]?{_DIGITS}{_BLANK}*\z"
+_INTEGER = rf"\A{_BLANK}*[+-]?{_DIGITS}{_BLANK}*\z"
 _FLOAT = (
-    rf"(?Ui)^{_BLANK}*[+-]?(?:"
-    rf"(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
-    rf"|inf(?:inity)?|nan){_BLANK}*\z"
+    rf"\A{_BLANK}*[+-]?(?:"
+    rf"(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+    rf"|(?i:inf(?:inity)?|nan)){_BLANK}*\z"
 )
+# What a whole number's plain form leaves out: a plus, leading zeros, minus zero's sign.
+_NUMBER_PREFIX = r"\A(?:\+|-(?=0+\z))?(-?)0*(?=[0-9])"
 # The replacement mark and every code point under 32.
 _UNPRINTABLE = r"[\x{FFFD}\x00-\x1F]"
 
 TRUE_FALSE = ("TRUE", "FALSE")
+RATINGS = ("1", "2", "3", "4", "5")
 
 
 def strip(c: Column) -> Column:
     """Drop leading and trailing blanks."""
-    return F.regexp_replace(c, _OUTER_BLANKS, "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def is_blank(c: Column) -> Column:
@@ -62,9 +68,11 @@ def _digit_alphabets() -> tuple[str, str]:
     return "".join(foreign), "".join(str(unicodedata.decimal(ch)) for ch in foreign)
 
 
-def _ascii_digits(c: Column) -> Column:
+def _number_text(c: Column) -> Column:
+    """Without outer blanks and underscores, foreign digits as ASCII ones."""
     foreign, ascii_ = _digit_alphabets()
-    return F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, foreign, ascii_)).otherwise(c)
+    digits = F.when(c.rlike(r"[^\x00-\x7F]"), F.translate(c, foreign, ascii_)).otherwise(c)
+    return F.replace(strip(digits), F.lit("_"), F.lit(""))
 
 
 def is_integer(c: Column) -> Column:
@@ -77,12 +85,7 @@ def integer_text(c: Column) -> Column:
 
     Text, not a number type, so that no width limit applies.
     """
-    plain = F.regexp_replace(_ascii_digits(strip(c)), "_", "")
-    digits = F.regexp_replace(plain, r"^[+-]?0*(?=[0-9])", "")
-    signed = F.when(
-        plain.startswith("-") & (digits != "0"), F.concat(F.lit("-"), digits)
-    ).otherwise(digits)
-    return F.when(is_integer(c), signed)
+    return F.when(is_integer(c), F.regexp_replace(_number_text(c), _NUMBER_PREFIX, "$1"))
 
 
 def integer_value(c: Column) -> Column:
@@ -97,16 +100,29 @@ def is_float(c: Column) -> Column:
 
 def float_value(c: Column) -> Column:
     """Floating-point value of the cell, NULL if it is none."""
-    return F.when(
-        is_float(c), F.regexp_replace(_ascii_digits(strip(c)), "_", "").try_cast("double")
+    return F.when(is_float(c), _number_text(c).try_cast("double"))
+
+
+def is_negative(c: Column) -> Column:
+    """True for whole numbers below zero (never NULL); looks for a minus sign first."""
+    signed = F.coalesce(c.rlike(rf"\A{_BLANK}*-"), F.lit(False))
+    return signed & F.coalesce(integer_text(c).startswith("-"), F.lit(False))
+
+
+def is_rating(c: Column) -> Column:
+    """True for whole numbers 1..5 (never NULL); plain ones need no pattern."""
+    return F.coalesce(
+        c.isin(*RATINGS) | F.coalesce(integer_text(c).isin(*RATINGS), F.lit(False)), F.lit(False)
     )
 
 
 def is_true_false(c: Column) -> Column:
     """True when the cell is TRUE or FALSE in any case, outer blanks aside."""
-    return F.coalesce(F.upper(strip(c)).isin(*TRUE_FALSE), F.lit(False))
+    return F.coalesce(
+        c.isin(*TRUE_FALSE) | F.upper(strip(c)).isin(*TRUE_FALSE), F.lit(False)
+    )
 
 
 def words(c: Column) -> Column:
     """Non-empty pieces between blanks and commas."""
-    return F.array_remove(F.split(c, rf"(?U)[\s\x1C-\x1F,]+"), "")
+    return F.array_remove(F.split(c, rf"[{BLANKS},]+"), "")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ratingloom.checkpoints import stage
 from ratingloom.functions.numbers import (
@@ -17,7 +18,7 @@ from ratingloom.functions.numbers import (
     parse_rating,
     strip_number,
 )
-from ratingloom.operators.lookup import unique_lookup
+from ratingloom.operators.lookup import fits_broadcast, unique_lookup
 from ratingloom.operators.position import number_rows, order_position, row_position
 
 # Feature columns ahead of the embeddings, in model order.
@@ -77,11 +78,19 @@ def na_to_null(df: DataFrame) -> DataFrame:
 
 def category_codes(df: DataFrame, column: str, code: str | None = None) -> DataFrame:
     """Dictionary ``column, code``: index among the sorted distinct values, NULL as
-    the empty string.  Only distinct values are sorted, in parallel."""
+    the empty string.
+
+    The distinct values are written once.  Measured small, they are numbered by one
+    window; otherwise by a range-partitioned sort.
+    """
     value = F.coalesce(F.col(column), F.lit("")).alias(column)
-    distinct = df.select(value).distinct()
-    coded = number_rows(order_position(distinct, [column]), "_no")
-    return coded.select(column, F.col("_no").cast("double").alias(code or f"{column}_code"))
+    values = stage(df.select(value).distinct(), f"values-{column}")
+    code = code or f"{column}_code"
+    if fits_broadcast(values):
+        number = F.row_number().over(Window.orderBy(column)) - 1
+        return values.select(column, number.cast("double").alias(code))
+    coded = stage(number_rows(order_position(values, [column]), "_no"), f"codes-{column}")
+    return coded.select(column, F.col("_no").cast("double").alias(code))
 
 
 def fit_categories(
@@ -89,7 +98,7 @@ def fit_categories(
 ) -> dict[str, DataFrame]:
     """A dictionary frame ``<column>, <column>_code`` per column present."""
     df = na_to_null(df)
-    return {c: stage(category_codes(df, c), f"codes-{c}") for c in columns if c in df.columns}
+    return {c: category_codes(df, c) for c in columns if c in df.columns}
 
 
 def apply_categories(df: DataFrame, dictionaries: dict[str, DataFrame]) -> DataFrame:

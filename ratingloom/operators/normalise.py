@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.functions.text import default_na, integer_text, is_integer, sanitise
+from ratingloom.functions.text import (
+    default_na,
+    integer_text,
+    is_integer,
+    is_negative,
+    is_rating,
+    sanitise,
+)
 from ratingloom.sources.schema_file import Layout
 
 
 def clamp_negative(c: Column) -> Column:
     """Negative whole numbers become ``0``; any other text is kept as it is."""
-    return F.when(is_integer(c) & integer_text(c).startswith("-"), F.lit("0")).otherwise(c)
+    return F.when(is_negative(c), F.lit("0")).otherwise(c)
 
 
 def clamp_rating(c: Column) -> Column:
     """Whole numbers below 1 become ``1``, above 5 ``5``; other text is kept."""
-    n = integer_text(c)
-    low = n.startswith("-") | (n == "0")
-    high = ~low & ~n.isin("1", "2", "3", "4", "5")
-    return F.when(~is_integer(c), c).when(low, F.lit("1")).when(high, F.lit("5")).otherwise(c)
+    low = is_negative(c) | (integer_text(c) == "0")
+    return (
+        F.when(is_rating(c) | ~is_integer(c), c).when(low, F.lit("1")).otherwise(F.lit("5"))
+    )
 
 
 def normalise(df: DataFrame, layout: Layout) -> DataFrame:

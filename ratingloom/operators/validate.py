@@ -8,24 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.functions.text import (
-    integer_text,
+    BLANKS,
     is_blank,
     is_integer,
+    is_rating,
     is_true_false,
     sanitise,
-    strip,
 )
-from ratingloom.operators.repair import RATINGS
 from ratingloom.sources.schema_file import Layout
 
 REASONS = "corruption_reasons"
 
-# Identifier shapes.
-_ID_SHAPES = {
-    "user_id": r"\Au_[A-Za-z0-9]{16}\z",
-    "prod_id": r"\Aa_[A-Za-z0-9]{16}\z",
-    "parent_prod_id": r"\Aa_[A-Za-z0-9]{16}\z",
-}
+# First letter of each identifier, 16 letters or digits behind ``_``.
+_ID_LETTERS = {"user_id": "u", "prod_id": "a", "parent_prod_id": "a"}
 
 
 def arity_reason(n_cells: Column, size: int) -> Column:
@@ -46,7 +41,8 @@ def missing_reason(layout: Layout) -> Column:
 
 
 def malformed_reason(name: str) -> Column:
-    good = F.coalesce(strip(F.col(name)).rlike(_ID_SHAPES[name]), F.lit(False))
+    shape = rf"\A[{BLANKS}]*{_ID_LETTERS[name]}_[A-Za-z0-9]{{16}}[{BLANKS}]*\z"
+    good = F.coalesce(F.col(name).rlike(shape), F.lit(False))
     return F.when(~good, F.lit(f"{name} malformed"))
 
 
@@ -55,16 +51,17 @@ def integer_reason(name: str) -> Column:
 
 
 def purchased_reason() -> Column:
-    return F.when(
-        ~is_true_false(sanitise(F.col("purchased"))), F.lit("purchased malformed")
-    )
+    c = F.col("purchased")
+    # sanitising turns control characters to blanks, so it can only matter to odd text
+    good = is_true_false(c) | is_true_false(sanitise(c))
+    return F.when(~good, F.lit("purchased malformed"))
 
 
 def rating_reason() -> Column:
     c = F.col("rating")
-    return F.when(~is_integer(c), F.lit("rating not integer")).when(
-        ~integer_text(c).isin(*RATINGS), F.lit("rating out of range")
-    )
+    return F.when(is_rating(c), F.lit(None)).when(
+        is_integer(c), F.lit("rating out of range")
+    ).otherwise(F.lit("rating not integer"))
 
 
 def _content_reasons(layout: Layout) -> list[Column]:
