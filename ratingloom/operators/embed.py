@@ -185,7 +185,9 @@ def fit_compressor(
         centre = Pipeline(stages=[scaler.setOutputCol("_short")]).fit(vectors)
         return Compressor(column, k, centre, seed)
     centred = scaler.setOutputCol("_centred").fit(vectors)
-    model = PCA(k=k, inputCol="_centred", outputCol="_signed").fit(centred.transform(vectors))
+    # the covariance takes the mean out by itself: fitted on the vectors as they are,
+    # sparse ones stay sparse; applied to centred ones
+    model = PCA(k=k, inputCol=column, outputCol="_signed").fit(vectors).setInputCol("_centred")
     directions = model.pc.toArray()
     lead = directions[np.abs(directions).argmax(axis=0), np.arange(k)]
     signs = ElementwiseProduct(

@@ -58,15 +58,13 @@ def require_embeddings(columns: Sequence[str], texts: Sequence[str] = TEXT_COLUM
         raise ValueError(f"Missing required embedding columns for: {missing}")
 
 
-def require_ratings(df: DataFrame, rating: str = "rating") -> None:
-    """The rating column must exist, hold rows, and be valid in each of them."""
-    if rating not in df.columns:
-        raise ValueError(f"Input has no '{rating}' column, which training requires")
+def require_ratings(df: DataFrame, rating: str = LABEL) -> None:
+    """There must be rows, and each must hold a valid rating."""
     n, bad = df.agg(F.count("*"), F.count_if(F.col(rating).isNull())).first()
     if n == 0:
         raise ValueError("Empty data set")
     if bad:
-        raise ValueError(f"Found {bad} rows with missing or invalid '{rating}'")
+        raise ValueError(f"Found {bad} rows with a missing or invalid rating")
 
 
 def na_to_null(df: DataFrame) -> DataFrame:

@@ -27,19 +27,18 @@ _GROUP_BITS = 10  # runs whose offsets one task adds up
 def file_position(scan: DataFrame, pos: str = POS) -> DataFrame:
     """Position of each row of a Parquet scan: file name order, then row in file.
 
-    Narrow: the reader supplies file path and row index, the file list is metadata.
+    Narrow: the reader supplies file path and row index.  The table of files has one
+    row per file and reads no data columns.
     """
-    spark = scan.sparkSession
-    files = sorted(scan.inputFiles())
-    row = F.col("_metadata.row_index")
-    if len(files) <= 1:
+    path, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    if len(scan.inputFiles()) <= 1:
         return scan.select("*", row.alias(pos))
-    ordinals = spark.createDataFrame(
-        list(enumerate(files)), "_file_no bigint, _file string"
-    )
-    placed = scan.select("*", F.col("_metadata.file_path").alias("_file"), row.alias("_row"))
+    number = F.row_number().over(Window.orderBy("_file")).cast("bigint")
+    files = scan.select(path.alias("_file")).distinct()
+    ordinals = stage(files.withColumn("_file_no", number), "files")
     return (
-        placed.join(bounded_broadcast(ordinals), "_file")
+        scan.select("*", path.alias("_file"), row.alias("_row"))
+        .join(bounded_broadcast(ordinals), "_file")
         .withColumn(pos, F.shiftleft("_file_no", _ROW_BITS) + F.col("_row"))
         .drop("_file", "_file_no", "_row")
     )

@@ -96,6 +96,8 @@ def train_ratings(
     """
     spark = merged.sparkSession
     began = time.perf_counter()
+    if "rating" not in merged.columns:
+        raise ValueError("Input has no 'rating' column, which training requires")
     if texts:
         require_embeddings(merged.columns, texts)
     if POS not in merged.columns:
@@ -104,7 +106,7 @@ def train_ratings(
     features = stage(
         feature_frame(merged, dictionaries, texts, keep=("id", POS)), "features"
     )
-    require_ratings(features, LABEL)
+    require_ratings(features)
     labels = label_report(features)
     if report_path:
         write_report(labels, report_path, fresh=True)
