@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratingloom.checkpoints import stage
+
 BROADCAST_BYTES = 64 << 20
 # Fixed bytes per row and per cell charged on top of text and array contents.
 _ROW_BYTES, _CELL_BYTES = 32, 16
@@ -44,29 +46,39 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
-def _hot_keys(left: DataFrame, key: str, tasks: int) -> DataFrame:
-    """Keys above a fair share of the left rows and the tasks each deserves.
+def _hot_keys(rows: DataFrame, key: str, tasks: int) -> DataFrame:
+    """Keys above a fair share of the rows and the number of tasks each deserves.
 
     At most ``tasks`` keys can exceed 1/``tasks`` of the rows, so this frame is
-    bounded by the session's partition count whatever the data holds.
+    bounded by the session's partition count whatever the data holds.  Two passes
+    over the key column alone, the second pre-aggregated; written once.
     """
-    counts = left.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n"))
-    total = F.lit(left.count())
-    return counts.filter(F.col("_n") * tasks > total).select(
-        "_hot", F.ceil(F.col("_n") * tasks / total).cast("int").alias("_salts")
+    total = F.lit(rows.count())
+    counts = rows.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n"))
+    return stage(
+        counts.filter(F.col("_n") * tasks > total).select(
+            "_hot", F.ceil(F.col("_n") * tasks / total).cast("int").alias("_salts")
+        ),
+        "hot-keys",
     )
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "left"
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "left",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join with a one-row-per-key ``right``; hot left keys use many tasks.
 
     The salt is the left row's own partition number: it is the same whenever a
-    lost task runs again, and it spreads even identical rows.
+    lost task runs again, and it spreads even identical rows.  ``counted`` is a
+    cheaper frame with the same keys as ``left``, if there is one.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(_hot_keys(left, left_key, tasks))
+    hot = F.broadcast(_hot_keys(left if counted is None else counted, left_key, tasks))
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     spread = (
         left.withColumn("_part", F.spark_partition_id())
@@ -91,8 +103,13 @@ def unique_lookup(
     how: str = "left",
     limit: int = BROADCAST_BYTES,
     small: bool | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``left`` to a one-row-per-key ``right``; column names must not clash."""
+    """Join ``left`` to a one-row-per-key ``right``; column names must not clash.
+
+    Broadcasts if ``right`` measures at most ``limit`` bytes (``small`` says so when
+    it is known already), else shuffles with hot keys spread.
+    """
     if small if small is not None else fits_broadcast(right, limit):
         return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), how)
-    return salted_join(left, right, left_key, right_key, how)
+    return salted_join(left, right, left_key, right_key, how, counted)

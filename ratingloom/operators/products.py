@@ -24,12 +24,12 @@ def first_seen(df: DataFrame, key: str = KEY, pos: str = POS) -> DataFrame:
     Pre-aggregated before the shuffle, so a key with very many rows sends one row
     per task.
     """
-    rest = [c for c in df.columns if c != key]
+    rest = [c for c in df.columns if c not in (key, pos)]
     return (
         df.filter(F.col(key) != "")
         .groupBy(key)
-        .agg(F.min_by(F.struct(*rest), pos).alias("_row"))
-        .select(key, *[F.col("_row")[c].alias(c) for c in rest])
+        # one aggregate per column, so that unused columns are never read
+        .agg(F.min(pos).alias(pos), *[F.min_by(c, pos).alias(c) for c in rest])
     )
 
 
@@ -58,26 +58,27 @@ def lookup_products(
     small = fits_broadcast(side, limit)
     if not small:
         side = stage(side, "products")
-    packed = side.select(F.col(KEY).alias("_key"), F.struct(*names).alias("_hit"))
 
-    def hop(left: DataFrame, key: str, into: str) -> DataFrame:
-        right = packed.select(F.col("_key").alias(f"{into}_key"), F.col("_hit").alias(into))
-        return unique_lookup(left, right, key, f"{into}_key", "left", small=small).drop(
-            f"{into}_key"
+    def hop(left: DataFrame, key: str, tag: str) -> DataFrame:
+        right = side.select(
+            F.col(KEY).alias(f"{tag}_key"), *[F.col(n).alias(f"{tag}_{n}") for n in names]
         )
+        # a left lookup keeps every review once: the keys to count are the reviews'
+        return unique_lookup(left, right, key, f"{tag}_key", "left", small=small, counted=reviews)
 
     joined = hop(hop(reviews, "prod_id", "_own"), KEY, "_parent")
-    hit = F.coalesce("_own", "_parent")
+    own, parent = F.col("_own_key").isNotNull(), F.col("_parent_key").isNotNull()
 
     def value(name: str) -> Column:
-        if miss == "null":
-            return hit[name]
         # a hit's empty cell stays NULL or empty, only a miss is the placeholder
-        return F.when(hit.isNull(), F.lit(MISSING)).otherwise(hit[name].cast("string"))
+        found = F.when(own, F.col(f"_own_{name}")).when(parent, F.col(f"_parent_{name}"))
+        return found if miss == "null" else F.when(
+            own | parent, found.cast("string")
+        ).otherwise(F.lit(MISSING))
 
     which = (
-        F.when(F.col("_own").isNotNull(), F.lit("prod_id"))
-        .when(F.col("_parent").isNotNull(), F.lit(KEY))
+        F.when(own, F.lit("prod_id"))
+        .when(parent, F.lit(KEY))
         .otherwise(F.lit("none"))
     )
     extra = [which.alias("hit")] if keep_hit else []
