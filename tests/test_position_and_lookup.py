@@ -12,7 +12,6 @@ from ratingloom.operators.position import (
     file_position,
     first_rows,
     number_rows,
-    order_position,
     row_position,
 )
 from ratingloom.operators.products import first_seen, lookup_products
