@@ -180,8 +180,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     """The rows of ``docs``, all columns, in which no benchmark window occurs."""
     found = find_contamination(docs, benchmark, window).filter(F.size("spans") > 0)
     gone = stage(found.select(F.col("row_hash").alias("_gone")).distinct(), "contaminated")
-    same = F.xxhash64("doc_id", F.coalesce("text", F.lit(""))) == F.col("_gone")
-    return docs.join(bounded_broadcast(gone), same, "left_anti")
+    row = F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+    whole = docs.select(F.struct("*").alias("_row"), row.alias("_hash"))
+    same = F.col("_hash") == F.col("_gone")
+    return whole.join(bounded_broadcast(gone), same, "left_anti").select("_row.*")
 
 
 def cut_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -171,15 +171,13 @@ def update_groups(groups: DataFrame, added: DataFrame, withdrawn: DataFrame) ->
     return _dealt(parts.select(columns), groups.count() + added.count())
 
 
-def _with_digest(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.withColumn("_sha", F.unhex(F.sha2(text.cast("binary"), 256)))
+def _digest():
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
 
 
 def _digests_and_groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Staged: id and digest of every row, and the groups of two and more."""
-    rows = _with_digest(docs.select("doc_id", "text"))
-    rows = stage(rows.select("_sha", F.col("doc_id").alias("_id")), "digests")
+    rows = stage(docs.select(_digest().alias("_sha"), F.col("doc_id").alias("_id")), "digests")
     groups = digest_groups(rows).filter(F.col("_n") > 1).withColumnRenamed("_sha", "_of")
     return rows, stage(groups, "copied-groups")
 
@@ -212,10 +210,11 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     text, any one of them.
     """
     groups = _digests_and_groups(docs)[1]
-    joined = unique_lookup(_with_digest(docs), groups, "_sha", "_of")
-    kept = joined.filter(F.col("_of").isNull() | F.col("doc_id").eqNullSafe(F.col("_top")))
+    whole = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), _digest().alias("_sha"))
+    joined = unique_lookup(whole, groups, "_sha", "_of")
+    kept = joined.filter(F.col("_of").isNull() | F.col("_id").eqNullSafe(F.col("_top")))
     if groups.filter(F.col("_same") > 1).isEmpty():
-        return kept.select(*docs.columns)
+        return kept.select("_row.*")
     twice = F.coalesce(F.col("_same"), F.lit(1)) > 1
     once = kept.filter(twice).dropDuplicates(["_sha"])
-    return kept.filter(~twice).select(*docs.columns).unionByName(once.select(*docs.columns))
+    return kept.filter(~twice).select("_row.*").unionByName(once.select("_row.*"))

@@ -312,7 +312,7 @@ def drop_similar(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B0
     """
     marks = join_similar(docs, rule).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = stage(marks.select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_text")).distinct(), "similar")
-    same = F.col("doc_id").eqNullSafe(F.col("_gone")) & (
-        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_text")
-    )
-    return docs.join(bounded_broadcast(gone), same, "left_anti")
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    whole = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), text.alias("_hash"))
+    same = F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_hash") == F.col("_text"))
+    return whole.join(bounded_broadcast(gone), same, "left_anti").select("_row.*")
