@@ -33,6 +33,18 @@ def labelled_sample(
     return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("text", "y")
 
 
+def first_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows with distinct keys: those whose keys hash lowest.
+
+    Only hashes are ranked; the rows themselves move once the bound is known, and of equal
+    keys one row does.
+    """
+    low = rows.select(F.xxhash64(key).alias("_h")).orderBy("_h").limit(most)
+    bound = low.agg(F.max("_h")).first()[0]
+    few = rows.withColumn("_h", F.xxhash64(key)).filter(F.col("_h") <= F.lit(bound))
+    return few.dropDuplicates(["_h"]).drop("_h")
+
+
 def slices(texts: Sequence[str], chars: int) -> Iterator[slice]:
     """Consecutive runs of texts of about ``chars`` code points; one long text may exceed it."""
     start, held = 0, 0

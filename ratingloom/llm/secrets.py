@@ -13,6 +13,8 @@ from math import log
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratingloom.llm.common import first_by_hash
+
 # The base patterns and their names, in the order that breaks ties.
 _KEYWORDS = "password passwd secret token".split()
 _ANY_CASE = "|".join("".join(f"[{c}{c.upper()}]" for c in word) for word in _KEYWORDS)
@@ -59,7 +61,7 @@ def labelled_samples(docs: DataFrame, most: int = SAMPLE_ROWS) -> DataFrame:
     patterns match; random strings are the texts' digests in the usual encodings.
     """
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.orderBy(F.xxhash64("text"), "text").limit(most)
+    rows = first_by_hash(rows, "text", most)
     digest = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     coded = F.array(
         F.rtrim(F.base64(digest), F.lit("=")), F.lower(F.hex(digest)), F.hex(digest),
