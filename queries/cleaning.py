@@ -10,7 +10,7 @@ from queries.views import LINE_ORDER, ORDER_SQL, SQL, table, view
 from ratingloom.checkpoints import scratch_path
 from ratingloom.functions.cells import csv_cells
 from ratingloom.functions.text import sanitise
-from ratingloom.operators.ids import reassign_duplicate_ids
+from ratingloom.operators.ids import max_id, reassign_duplicate_ids
 from ratingloom.operators.normalise import clamp_negative, clamp_rating, normalise
 from ratingloom.operators.position import (
     POS,
@@ -204,8 +204,7 @@ from ({_clean_sql(TRAIN, SQL["dirty"])}) k""",
 )
 def max_valid_id(spark, sf_dir):
     rows = _clean(spark, sf_dir, "dirty", TRAIN).select("id")
-    return rows.agg(F.greatest(F.coalesce(F.max(F.col("id").cast("bigint")), F.lit(0)), F.lit(0))
-                    .alias("max_id"))
+    return spark.range(1).select(max_id(rows).cast("bigint").alias("max_id"))
 
 
 @query("dup_id_reassign", _renumbered_sql(TRAIN, SQL["reviews"]))
@@ -504,14 +503,13 @@ def row_positions(spark, sf_dir):
 @query(
     "row_size_profile",
     f"""select count(*) as lines, cast(sum(strlen(record) + 1) as bigint) as bytes,
-  round(avg(strlen(record) + 1), 6) as avg_line_bytes
+  round(avg(strlen(record) + 1), 6) as avg_line_bytes, count(*) as est_rows
 from (select unnest(string_split(record, chr(10))) as record from ({SQL["records"]}) s) r""",
 )
 def size_profile(spark, sf_dir):
-    lines = scan_lines(spark, _raw_file(spark, sf_dir))
-    return row_size_profile(lines).withColumn(
-        "avg_line_bytes", F.round("avg_line_bytes", 6)
-    )
+    # the file has no header, and each of its lines a line feed
+    profile = row_size_profile(spark, _raw_file(spark, sf_dir), header=False)
+    return profile.withColumn("avg_line_bytes", F.round("avg_line_bytes", 6))
 
 
 @query(

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-
+import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from queries.joining import merged, products, reviews
 from queries.numbers import _SCALARS, scalar_features
 from queries.registry import query
-from queries.views import table
+from queries.views import SQL, table, view
 from ratingloom.checkpoints import scratch_path, stage
+from ratingloom.functions.numbers import encode_true
 from ratingloom.operators.embed import (
     Compressor,
     column_means,
     encode_text,
+    encode_with_model,
     expand_embedding,
     fit_compressor,
     fit_encoder,
 )
-from ratingloom.operators.mlp import TrainConfig
 from ratingloom.operators.position import order_position
 from ratingloom.operators.regress import (
     epoch_table,
@@ -96,9 +98,6 @@ def merge_with_text(spark, sf_dir):
 
 # --- regressors -----------------------------------------------------------------------
 
-_QUICK = TrainConfig(epochs=3, hidden=(32, 16), batch_size=512)
-
-
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     frame = order_position(scalar_features(spark, sf_dir), ["id", *_SCALARS, "label"])
     done = train_val_split(frame)
@@ -110,7 +109,7 @@ def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def _fitted(spark: SparkSession, sf_dir: str, algo: str, **params) -> DataFrame:
     train, val = _sides(spark, sf_dir)
-    model = fit_regressor(train, val, _SCALARS, algo=algo, config=_QUICK, **params)
+    model = fit_regressor(train, val, _SCALARS, algo=algo, **params)
     return evaluate(val, model)
 
 
@@ -121,12 +120,12 @@ def fit_linear(spark, sf_dir):
 
 @query("fit_gbt")
 def fit_gbt(spark, sf_dir):
-    return _fitted(spark, sf_dir, "gbt", maxIter=5, maxDepth=4)
+    return _fitted(spark, sf_dir, "gbt")
 
 
 @query("fit_forest")
 def fit_forest(spark, sf_dir):
-    return _fitted(spark, sf_dir, "forest", numTrees=8, maxDepth=5)
+    return _fitted(spark, sf_dir, "forest")
 
 
 @query("fit_mlp")
@@ -137,7 +136,7 @@ def fit_mlp_query(spark, sf_dir):
 @query("epoch_stats")
 def epoch_stats(spark, sf_dir):
     train, val = _sides(spark, sf_dir)
-    model = fit_regressor(train, val, _SCALARS, algo="mlp", config=_QUICK)
+    model = fit_regressor(train, val, _SCALARS, algo="mlp")
     return epoch_table(spark, model)
 
 
@@ -146,7 +145,7 @@ def score_saved(spark, sf_dir):
     """Train on the merged reviews, save, load, score them all."""
     train, val = _sides(spark, sf_dir)
     path = scratch_path(spark, "regressor")
-    save_regressor(fit_regressor(train, val, _SCALARS, algo="mlp", config=_QUICK), path)
+    save_regressor(fit_regressor(train, val, _SCALARS, algo="mlp"), path)
     return score_ratings(scalar_features(spark, sf_dir), load_regressor(path))
 
 
@@ -156,3 +155,64 @@ def train_and_score(spark, sf_dir):
     rows = stage(merged(spark, sf_dir), "merged")
     run = train_ratings(rows, algo="linear", texts=(), order=rows.columns)
     return score_reviews(rows, run.model)
+
+
+# --- models whose results SQL can tell ----------------------------------------------------
+
+_PLANTED = "0.5 + 0.01 * votes + 1.25 * purchased"
+
+
+@query(
+    "planted_linear",
+    f"""select id, round(greatest(1.0, least(5.0, 0.5 + 0.01 * votes + 1.25 * purchased)), 4) as rating
+from (select id, cast(votes as double) as votes,
+  case when upper(trim(purchased)) = 'TRUE' then 1.0 else 0.0 end as purchased
+  from ({SQL["reviews"]}) r) p""",
+)
+def planted_linear(spark, sf_dir):
+    """A label that is a formula: fitted on the training rows, saved, loaded, scored, bound."""
+    rows = view(spark, sf_dir, "reviews").select(
+        "id",
+        F.col("votes").cast("double").alias("votes"),
+        encode_true(F.col("purchased")).cast("double").alias("purchased"),
+    )
+    rows = rows.withColumn("label", F.expr(_PLANTED))
+    path = scratch_path(spark, "planted")
+    save_regressor(fit_regressor(rows, rows, ["votes", "purchased"], algo="linear"), path)
+    scored = score_ratings(rows, load_regressor(path))
+    return scored.select("id", F.round("rating", 4).alias("rating"))
+
+
+@query(
+    "own_encoder",
+    """select doc_id, cast(length(coalesce(text, '')) as double) as n_chars,
+  cast(length(coalesce(text, '')) - length(replace(coalesce(text, ''), 'e', '')) as double) as n_e
+from documents""",
+)
+def own_encoder(spark, sf_dir):
+    """A user's own sentence model beside the text column."""
+
+    def load():
+        return lambda texts: np.array([[len(t), t.count("e")] for t in texts], dtype=float)
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vectors = encode_with_model(docs, "text", load).select("doc_id", vector_to_array("text_vec").alias("v"))
+    return vectors.select("doc_id", F.col("v")[0].alias("n_chars"), F.col("v")[1].alias("n_e"))
+
+
+@query(
+    "full_width_distance",
+    """with m as (select pos, avg(v) as mean from (
+  select unnest(range(64)) as pos, unnest(embedding)::double as v from embeddings) e group by pos)
+select vec_id, round(sum((v - mean) * (v - mean)), 3) as distance from (
+  select vec_id, unnest(range(64)) as pos, unnest(embedding)::double as v from embeddings) e
+join m using (pos) group by vec_id""",
+)
+def full_width_distance(spark, sf_dir):
+    """All components together keep each row's squared distance from the mean."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    path = scratch_path(spark, "compressor")
+    fit_compressor(rows, "embedding", DIM).save(path)
+    short = Compressor.load(path).apply(rows)
+    squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x)
+    return short.select("vec_id", F.round(squares, 3).alias("distance"))

@@ -143,17 +143,17 @@ SQL = _texts("duckdb", {t: t for t in TABLES})
 
 
 # Tables whose rows get the work; the others are only looked up.
+_FEW = 8
 _DRIVING = {"lineitem", "documents", "embeddings"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table.  A file of one row group would keep a single task busy with all
-    the work behind the scan, so a driving table of fewer tasks than cores is spread
-    first; tables of many row groups are read as they lie."""
+    the work behind the scan, so a driving table of fewer than ``_FEW`` tasks, a gigabyte
+    at the most whatever the cluster, is spread first; others are read as they lie."""
     scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _DRIVING and scan.rdd.getNumPartitions() < cores:
-        return scan.repartition(cores)
+    if name in _DRIVING and scan.rdd.getNumPartitions() < _FEW:
+        return scan.repartition(_FEW)
     return scan
 
 

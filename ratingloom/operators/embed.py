@@ -76,20 +76,19 @@ def encode_with_model(
     stream through it, ``batch`` texts per call.
     """
     out = out or f"{column}_vec"
-    raw = T.StructType([*df.schema.fields, T.StructField("_raw", T.ArrayType(T.DoubleType()))])
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
-        for frame in frames:
-            texts = frame[column].fillna("").astype(str).tolist()
+        for texts in batches:
+            held = texts.tolist()
             rows: list[np.ndarray] = []
-            for i in range(0, len(texts), batch):
-                rows.extend(np.asarray(model(texts[i : i + batch]), dtype=float))
-            yield frame.assign(_raw=rows)
+            for i in range(0, len(held), batch):
+                rows.extend(np.asarray(model(held[i : i + batch]), dtype=float))
+            yield pd.Series(rows, dtype=object)
 
-    return (
-        df.mapInPandas(encode, raw).withColumn(out, array_to_vector("_raw")).drop("_raw")
-    )
+    # the text column alone visits Python
+    return df.withColumn(out, array_to_vector(encode(F.coalesce(F.col(column), F.lit("")))))
 
 
 # --- compress -----------------------------------------------------------------
@@ -140,11 +139,16 @@ class Compressor:
         dim, seed = self.dim, self.seed
 
         @F.pandas_udf(T.ArrayType(T.DoubleType()))
-        def project(rows: pd.Series) -> pd.Series:
-            if rows.empty:
-                return rows
-            matrix = np.stack(rows.to_numpy())
-            return pd.Series(list(matrix @ random_directions(matrix.shape[1], dim, seed)))
+        def project(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            directions = None  # drawn once per task
+            for rows in batches:
+                if rows.empty:
+                    yield rows
+                    continue
+                matrix = np.stack(rows.to_numpy())
+                if directions is None:
+                    directions = random_directions(matrix.shape[1], dim, seed)
+                yield pd.Series(list(matrix @ directions))
 
         return project(vector_to_array("_short"))
 

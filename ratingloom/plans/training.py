@@ -52,12 +52,16 @@ class RatingModel:
 
     def save(self, path: str) -> None:
         save_regressor(self.regressor, f"{path}/regressor")
+        spark = SparkSession.active()
+        texts = spark.createDataFrame([(list(self.texts),)], "texts array<string>")
+        texts.write.mode("overwrite").parquet(f"{path}/texts")
         for column, codes in self.dictionaries.items():
             codes.write.mode("overwrite").parquet(f"{path}/categories/{column}")
 
     @staticmethod
-    def load(path: str, texts: Sequence[str] = TEXT_COLUMNS) -> RatingModel:
+    def load(path: str) -> RatingModel:
         spark = SparkSession.active()
+        texts = spark.read.parquet(f"{path}/texts").first()["texts"]
         regressor = load_regressor(f"{path}/regressor")
         known = [c for c in regressor.features if c in ("prod_main_category", "prod_store")]
         dictionaries = {c: spark.read.parquet(f"{path}/categories/{c}") for c in known}

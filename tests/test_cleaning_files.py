@@ -201,3 +201,55 @@ def test_strict_rows(spark, train_file, tmp_path):
 def test_missing_input(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         clean_file(spark, str(tmp_path / "none.csv"), TRAIN)
+
+
+def test_framing_survives_other_splits(spark, tmp_path):
+    path = tmp_path / "many"
+    path.mkdir()
+    user = "u_" + "a" * 16
+    for part in range(4):
+        rows = [f"{part * 5000 + i},{user},x" + ("\ntail" if i % 7 == 0 else "") for i in range(5000)]
+        (path / f"part-{part}.csv").write_text("\n".join(rows) + "\n")
+    expected = sorted(
+        f"{n},{user},x" + ("\ntail" if n % 5000 % 7 == 0 else "") for n in range(20_000)
+    )
+    names = ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n, v in zip(names, ("4", "128m", "1k")):
+            spark.conf.set(n, v)
+        records = frame_records(scan_lines(spark, str(path)), header=False)
+        for n, v in zip(names, ("16", "16k", "1k")):
+            spark.conf.set(n, v)
+        assert sorted(r["record"] for r in records.collect()) == expected
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def test_ownerless_text_beyond_a_value_is_named(spark, tmp_path, monkeypatch):
+    from ratingloom.sources import raw_text
+
+    path = tmp_path / "wrong.csv"
+    path.write_text("no record\n" * 50)
+    monkeypatch.setattr(raw_text, "RECORD_BYTES", 100)
+    with pytest.raises(ValueError, match="wrong.csv"):
+        frame_records(scan_lines(spark, str(path)), header=False)
+
+
+def test_size_profile_reads_raw_bytes(spark, tmp_path):
+    from ratingloom.operators.reports import row_size_profile
+
+    raw = b"h\r\nab\xff\r\n" + "c\u2028d\n".encode()
+    (tmp_path / "f.csv").write_bytes(raw)
+    row = row_size_profile(spark, str(tmp_path)).first()
+    assert (row["lines"], row["bytes"]) == (2, len(raw))
+    assert row["avg_line_bytes"] == (5 + 6) / 2 and row["est_rows"] == int(len(raw) / 5.5)
+
+
+def test_ids_beyond_64_bits(spark):
+    from ratingloom.operators.ids import reassign_duplicate_ids
+
+    rows = spark.createDataFrame([(0, "9" * 20), (1, "5"), (2, "5")], "pos long, id string")
+    found = [r["id"] for r in reassign_duplicate_ids(rows).orderBy("pos").collect()]
+    assert found == ["9" * 20, "5", "1" + "0" * 20]
