@@ -76,22 +76,41 @@ def _content_reasons(layout: Layout) -> list[Column]:
     return found + ([rating_reason()] if layout.has_rating else [])
 
 
+def _stops(
+    layout: Layout, n_cells: Column | None, extra_columns: Column | None
+) -> list[Column]:
+    """Reasons that end the check: unexpected columns, a wrong cell count, a blank value."""
+    stops = []
+    if extra_columns is not None:
+        stops.append(F.when(extra_columns, F.lit("extra attribute")))
+    if n_cells is not None:
+        stops.append(arity_reason(n_cells, layout.size))
+    return [*stops, missing_reason(layout)]
+
+
+# Between reasons while they are one text; no reason holds it.
+_BETWEEN = "\x1f"
+
+
 def row_reasons(
-    layout: Layout, n_cells: Column | None = None, extra_columns: Column | None = None
+    layout: Layout,
+    n_cells: Column | None = None,
+    extra_columns: Column | None = None,
+    check_id: bool = False,
 ) -> Column:
     """``ArrayType(StringType)`` of reasons, empty for a valid row.
 
     A wrong cell count, an unexpected column or a blank required value ends the
-    check; everything else accumulates in column order.
+    check; everything else accumulates in column order.  ``check_id`` adds the test that
+    an otherwise valid row's id is a whole number.  Every test stands in the expression
+    once, and all of it is generated code.
     """
-    stops = []
-    if extra_columns is not None:
-        stops.append(F.when(extra_columns, F.lit("extra attribute")))
-    if n_cells is not None:
-        stops.append(arity_reason(n_cells, layout.size))
-    stop = F.coalesce(*stops, missing_reason(layout))
-    content = F.array_compact(F.array(*_content_reasons(layout)))
-    return F.when(stop.isNotNull(), F.array(stop)).otherwise(content)
+    content = F.concat_ws(_BETWEEN, *_content_reasons(layout))
+    if check_id:
+        content = F.coalesce(F.nullif(content, F.lit("")), integer_reason("id"), F.lit(""))
+    text = F.coalesce(*_stops(layout, n_cells, extra_columns), content)
+    # no reasons at all: splitting an empty text would leave one empty reason
+    return F.coalesce(F.split(F.nullif(text, F.lit("")), _BETWEEN), F.array().cast("array<string>"))
 
 
 def unexpected_columns(df: DataFrame, layout: Layout) -> Column | None:
@@ -126,13 +145,8 @@ def validate(
     ``check_id`` adds the test that an otherwise valid row's id is a whole number.
     """
     extra = unexpected_columns(df, layout) if by_name else None
-    checked = df.withColumn(REASONS, row_reasons(layout, F.col(n_cells) if n_cells else None, extra))
-    if check_id:
-        bad_id = (F.size(REASONS) == 0) & ~is_integer(F.col("id"))
-        checked = checked.withColumn(
-            REASONS, F.when(bad_id, F.array(F.lit("id not integer"))).otherwise(F.col(REASONS))
-        )
-    return checked
+    cells = F.col(n_cells) if n_cells else None
+    return df.withColumn(REASONS, row_reasons(layout, cells, extra, check_id))
 
 
 def mark_invalid_header(df: DataFrame, header_ok: bool) -> DataFrame:
