@@ -33,8 +33,8 @@ from ratingloom.operators.lookup import bounded_broadcast, unique_lookup
 FRONT = 0.2
 _FRONT_END = np.uint64(int(FRONT * 2**64))
 # Tokens that a block of a cluster holds, about; a task sees two blocks.
-BLOCK_TOKENS = 2_000_000
-_CHUNK_CHARS = 1_000_000
+BLOCK_TOKENS = 500_000
+_CHUNK_CHARS = 500_000
 _ORDERS = 2
 _PLACE = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 _BLANKS = np.zeros(256, bool)

@@ -29,7 +29,7 @@ from ratingloom.operators.lookup import bounded_broadcast
 CAPACITY = 1024
 END_ID = 2
 # Pieces of text that a worker remembers the ids of, before it starts afresh.
-_REMEMBERED = 600_000
+_REMEMBERED = 200_000
 _SPECIAL, _SPECIAL_ID = "<|endoftext|>", 50256
 
 # The vocabulary's own splitting rule where letters are Latin up to U+024F and nothing else
@@ -174,6 +174,7 @@ def tokenised(
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "_part", "_number"]
             out = pd.DataFrame(rows, columns=names + ["ids"] * with_ids)
             yield out if kind == "string" else out.astype({"doc_id": batch["doc_id"].dtype})
+        encoder(vocabulary).clear()  # workers live on, what they remember need not
 
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "

@@ -22,7 +22,7 @@ from ratingloom.llm.common import Adam, code_points, held_out, labelled_sample,
 # Training takes at most so many documents, of at most so many lines each.
 SAMPLE_ROWS = 4000
 SAMPLE_LINES = 400
-_CHUNK_CHARS = 1_000_000
+_CHUNK_CHARS = 500_000
 
 _SYMBOLS = "#$%&*|!^~@<>{}[]\\`=+_"
 _MARKS = ".,;:'\"-()?/"
