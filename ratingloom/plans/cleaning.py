@@ -64,9 +64,12 @@ def check_rows(df: DataFrame, layout: Layout, n_cells: str | None = None) -> Dat
     return validate(df, layout, n_cells=n_cells, check_id=layout.kind == "train")
 
 
-def check_records(records: DataFrame, layout: Layout, compat: bool = False) -> DataFrame:
-    """``pos, record`` -> cells, repaired and checked columns (narrow)."""
-    cells = records.select(POS, csv_cells(F.col("record")).alias("cells"))
+def check_records(
+    records: DataFrame, layout: Layout, compat: bool = False, record: str = "record"
+) -> DataFrame:
+    """``record`` text -> cells, repaired and checked columns (narrow); other columns stay."""
+    others = [c for c in records.columns if c != record]
+    cells = records.select(*others, csv_cells(F.col(record)).alias("cells"))
     if layout.kind != "product":
         return check_rows(repair_reviews(cells, layout, compat=compat), layout)
     extra = F.size("cells") - layout.size

@@ -1,4 +1,4 @@
-"""Cleaning of review streams.
+"""Cleaning of review and product streams.
 
 Repair, validation and normalising are row-wise expressions, so the batch functions
 run on a streaming frame unchanged and need no state.  Records must arrive whole,
@@ -8,22 +8,17 @@ one per row: framing, id repair and fitting need the complete table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ratingloom.functions.cells import csv_cells
 from ratingloom.operators.normalise import normalise
-from ratingloom.operators.repair import repair_reviews
 from ratingloom.operators.validate import clean_rows, quarantined_rows
-from ratingloom.plans.cleaning import check_rows
+from ratingloom.plans.cleaning import check_records
 from ratingloom.sources.schema_file import Layout
 
 
 def check_record_stream(records: DataFrame, layout: Layout, record: str = "value") -> DataFrame:
-    """Streaming ``record`` text -> checked columns; other columns stay."""
-    others = [c for c in records.columns if c != record]
-    cells = records.select(*others, csv_cells(F.col(record)).alias("cells"))
-    return check_rows(repair_reviews(cells, layout), layout)
+    """Streaming ``record`` text of reviews or products -> checked columns; others stay."""
+    return check_records(records, layout, record=record)
 
 
 def write_checked_stream(
@@ -35,11 +30,13 @@ def write_checked_stream(
     """
 
     def write(batch: DataFrame, number: int) -> None:
+        batch.persist()  # read, repaired and checked once for both outputs
         for rows, name in (
             (normalise(clean_rows(batch), layout), "clean"),
             (quarantined_rows(batch), "corrupted"),
         ):
             rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
+        batch.unpersist()
 
     return (
         checked.writeStream.foreachBatch(write)

@@ -146,3 +146,14 @@ def test_other_column_order(spark):
     layout = TRAIN.with_fields(("rating", *TRAIN.fields[:-1]))
     good = ("5", *GOOD[:-1])
     assert reasons(spark, [good, ("6", *GOOD[:-1])], layout) == [[], ["rating out of range"]]
+
+
+def test_product_stream_equals_batch(spark, small, tmp_path):
+    rows = [f"{i},a_{'x' * 16},Books,1.0,T,f,s,{'5' if i % 3 else 'no'}" for i in range(30)] + ["1,short"]
+    spark.createDataFrame([(r,) for r in rows], "value string").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("value string").parquet(str(tmp_path / "in"))
+    checked = check_record_stream(stream, PRODUCT)
+    write_checked_stream(checked, PRODUCT, str(tmp_path / "out"), str(tmp_path / "p")).awaitTermination()
+    clean = spark.read.parquet(str(tmp_path / "out/clean"))
+    corrupt = spark.read.parquet(str(tmp_path / "out/corrupted"))
+    assert (clean.count(), corrupt.count()) == (20, 11)
