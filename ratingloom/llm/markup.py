@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratingloom.llm.common import first_by_hash
+
 # Training takes at most so many pages, of at most so many code points.
 SAMPLE_PAGES, SAMPLE_CHARS = 400, 40_000
 
@@ -372,7 +374,7 @@ def fit_extractor(pages: DataFrame, most: int = SAMPLE_PAGES) -> BoostedTrees:
     Without a page that marks its main text, furniture is told by its names alone.
     """
     some = pages.filter(F.length("html") <= SAMPLE_CHARS).select("page_id", "html")
-    some = some.orderBy(F.xxhash64("page_id"), "page_id").limit(most)
+    some = first_by_hash(some, "page_id", most)
     rows = some.mapInPandas(_examples, "x binary, y binary").orderBy("x").toPandas()
     if rows.empty:
         page = "<html><body><nav>a</nav><article><p>{}</p></article></body></html>".format("text " * 40)
