@@ -88,7 +88,8 @@ _VALUE = np.random.default_rng(20240917).integers(0, 1 << 64, 1 << 16, dtype=np.
 def word_hashes(codes: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and 64-bit hash of every run of ``inside`` code points.
 
-    The hash sums each code point's random value times an odd number for its place.
+    The hash sums a mixed value of each code point and its place, so words that differ
+    in any way share one by chance alone.
     """
     edge = np.diff(inside.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -99,8 +100,8 @@ def word_hashes(codes: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.n
     first = np.cumsum(size) - size
     place = np.arange(len(at)) - np.repeat(first, size)
     value = _VALUE[codes[at] & 0xFFFF] + (codes[at] >> 16).astype(np.uint64)
-    value *= (2 * place + 1).astype(np.uint64)
-    return start, end, mixed(np.add.reduceat(value, first))
+    value += place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return start, end, mixed(np.add.reduceat(mixed(value), first))
 
 
 class Adam:

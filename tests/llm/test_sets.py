@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from ratingloom.llm import contamination, exact, jaccard, licences, packing, urls
+from ratingloom.llm.common import code_points, word_hashes
 from ratingloom.llm.components import components
 
 SCHEMA = "doc_id long, text string, keep_id string, _n int, _sha string"
@@ -139,6 +140,29 @@ def test_join_equals_all_pairs(spark, monkeypatch):
     assert jaccard.join_similar(docs.limit(0)).count() == 0
 
 
+def test_words_of_the_same_characters_have_their_own_hashes():
+    words = [f"{n:06d}" for n in range(10**6)] + ["otto", "toot", "1001", "0110", "2112", "1221", "a\U0001f600", "\U0001f600a"]
+    codes, _ = code_points(words)
+    _, _, h = word_hashes(codes, codes != 10)
+    assert len(np.unique(h)) == len(h) == len(words)
+
+
+def test_join_tells_numbers_and_permuted_words_apart(spark):
+    r = random.Random(8)
+    rows = [(1, "otto 1001 2112 a b"), (2, "toot 0110 1221 a b"), (3, "1001 x y z 0110 x y z 1001"), (4, "0110 x y z 1001 x y z 0110")]
+    for k in range(60):
+        words = [f"{r.randrange(10**6):06d}" for _ in range(60)]
+        rows.append((100 + 2 * k, " ".join(words)))
+        rows.append((101 + 2 * k, " ".join(w[::-1] if n % 20 == 7 else w for n, w in enumerate(words))))
+    pairs = [("otto", "toot"), ("1001", "0110"), ("2112", "1221")]
+    for k in range(20):
+        some = [r.choice(pairs) for _ in range(40)]
+        rows += [(300 + 2 * k, " ".join(a for a, _ in some)), (301 + 2 * k, " ".join(b for _, b in some))]
+    docs = frame(spark, rows)
+    found = sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in jaccard.join_similar(docs).collect())
+    assert found == brute_join(rows)
+
+
 def brute_contamination(texts, items):
     windows = {}
     for i, t in items:
