@@ -36,10 +36,10 @@ def labelled_sample(
 def first_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:
     """At most ``most`` rows with distinct keys: those whose keys hash lowest.
 
-    Only hashes are ranked; the rows themselves move once the bound is known, and of equal
-    keys one row does.
+    Only distinct hashes are ranked, so copies of a key use up one place; the rows
+    themselves move once the bound is known, and of equal keys one row does.
     """
-    low = rows.select(F.xxhash64(key).alias("_h")).orderBy("_h").limit(most)
+    low = rows.select(F.xxhash64(key).alias("_h")).distinct().orderBy("_h").limit(most)
     bound = low.agg(F.max("_h")).first()[0]
     few = rows.withColumn("_h", F.xxhash64(key)).filter(F.col("_h") <= F.lit(bound))
     return few.dropDuplicates(["_h"]).drop("_h")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.llm import markup, quality, secrets, toxicity
-from ratingloom.llm.common import held_out
+from ratingloom.llm.common import first_by_hash, held_out
 
 SCHEMA = "doc_id long, text string, score int, lang string"
 ODD = [
@@ -27,6 +27,15 @@ def test_held_out_is_crc_of_the_id_as_text(spark):
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows.collect())
 
 
+def test_copies_use_up_one_place_of_a_sample(spark):
+    texts = spark.range(3000).select(F.concat(F.lit("t"), F.col("id")).alias("text"))
+    hot = texts.orderBy(F.xxhash64("text")).first()["text"]
+    rows = texts.unionByName(spark.range(2000).select(F.lit(hot).alias("text")))
+    expected = [r["text"] for r in texts.orderBy(F.xxhash64("text")).limit(1000).collect()]
+    found = [r["text"] for r in first_by_hash(rows, "text", 1000).collect()]
+    assert hot in found and sorted(found) == sorted(expected)
+
+
 def _accuracy(scored, labels, label):
     both = scored.filter("held_out").join(labels.filter(F.col(label).isNotNull()), "doc_id")
     rows = both.select(label, "predicted").toPandas()
