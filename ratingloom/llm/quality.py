@@ -41,10 +41,25 @@ def _class_table() -> np.ndarray:
 
 
 _CLASS = _class_table()
-# Seven counts of up to 2^21 each share two sums of 64 bits and one more.
+# Seven counts of less than 2^21 each share two sums of 64 bits and one more.
+_FIELD = 21
 _PACKED = np.zeros((3, 8), np.int64)
 for _k in range(7):
-    _PACKED[_k // 3, _k] = 1 << 21 * (_k % 3)
+    _PACKED[_k // 3, _k] = 1 << _FIELD * (_k % 3)
+
+
+def class_counts(kind: np.ndarray, starts: np.ndarray, longest: int) -> np.ndarray:
+    """How many code points of each of the seven classes lie in each line."""
+    counts = np.empty((len(starts), 7), np.float64)
+    if longest >> _FIELD:  # too many for a field, so each class has a sum of its own
+        for k in range(7):
+            counts[:, k] = np.add.reduceat(kind == k, starts, dtype=np.int64)
+        return counts
+    for p in range(3):
+        packed = np.add.reduceat(_PACKED[p][kind], starts)
+        for j in range(min(3, 7 - 3 * p)):
+            counts[:, 3 * p + j] = (packed >> _FIELD * j) & ((1 << _FIELD) - 1)
+    return counts
 
 
 def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,11 +69,7 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     starts = np.concatenate(([0], np.flatnonzero(kind == _FEED)[:-1] + 1))
     lengths = np.diff(np.append(starts, len(codes))) - 1
     per_text = np.diff(np.append(np.searchsorted(starts, begins), len(starts)))
-    counts = np.empty((len(starts), 7), np.float64)
-    for p in range(3):
-        packed = np.add.reduceat(_PACKED[p][kind], starts)
-        for j in range(min(3, 7 - 3 * p)):
-            counts[:, 3 * p + j] = (packed >> 21 * j) & ((1 << 21) - 1)
+    counts = class_counts(kind, starts, int(lengths.max()))
     inside = (kind != _BLANK) & (kind != _FEED)
     first, end, hashes = word_hashes(codes, inside)
     line = np.searchsorted(starts, first, side="right") - 1

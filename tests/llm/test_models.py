@@ -73,6 +73,14 @@ def test_quality_without_labels(spark):
     assert quality.score_quality(docs, model).filter("predicted = 1").count() == len(ODD)
 
 
+def test_class_shares_of_a_very_long_line():
+    n = (1 << 21) + 5
+    x, lengths, _ = quality.line_features(["a" * n + "B" * 3, "cd1 "])
+    assert lengths.tolist() == [n + 3, 4]
+    assert np.allclose(x[0, :7] * lengths[0], [n, 3, 0, 0, 0, 0, 0], atol=0.5)
+    assert np.allclose(x[1, :7] * 4, [2, 0, 1, 1, 0, 0, 0])
+
+
 def test_forward_backward_equals_enumeration():
     r = np.random.default_rng(1)
     sizes = np.array([3, 1, 4])
