@@ -21,16 +21,20 @@ def labelled_sample(
     """Texts with 0/1 labels to learn from: at most ``most`` rows, or of either class if balanced.
 
     The rows are those first by hash of their id among the labelled rows that are not
-    held out, so the sample spreads over the corpus and is the same on every run.  Its
-    bound makes it safe to broadcast and, once reduced to features, to gather.
+    held out, so the sample spreads over the corpus and is the same on every run.  An id
+    counts once for each label, however many rows of either table carry it; of its texts
+    the one with the lowest hash is taken.  So the bound holds for the rows returned, which
+    makes them safe to broadcast and, once reduced to features, to gather.
     """
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    known = known.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y"))
+    known = known.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("y")).distinct()
     parts = [known.filter(F.col("y") == y) for y in (0, 1)] if balanced else [known]
     first = [part.orderBy(F.xxhash64("_id"), "_id", "y").limit(most) for part in parts]
     ids = first[0].unionByName(first[1]) if balanced else first[0]
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return texts.join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("text", "y")
+    rows = texts.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    one = rows.groupBy("_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("_least"))
+    return one.select("_least.text", "y")
 
 
 def first_by_hash(rows: DataFrame, key: str, most: int) -> DataFrame:

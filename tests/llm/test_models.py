@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.llm import markup, quality, secrets, toxicity
-from ratingloom.llm.common import first_by_hash, held_out
+from ratingloom.llm.common import first_by_hash, held_out, labelled_sample
 
 SCHEMA = "doc_id long, text string, score int, lang string"
 ODD = [
@@ -36,6 +36,18 @@ def test_copies_use_up_one_place_of_a_sample(spark):
     assert hot in found and sorted(found) == sorted(expected)
 
 
+@pytest.mark.parametrize("balanced", [False, True])
+def test_labelled_sample_takes_an_id_once(spark, balanced):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, f"t{i} {k}") for i in ids for k in range(50 if i < 9 else 1)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in ids for _ in range(50 if i < 9 else 1)], "doc_id long, quality int")
+    sample = labelled_sample(docs, labels, "quality", len(ids), balanced)
+    found = [(int(r["text"].split()[0][1:]), r["y"]) for r in sample.collect()]
+    assert sorted(found) == [(i, i % 2) for i in ids]
+    few = labelled_sample(docs, labels, "quality", 5, balanced).collect()
+    assert len(few) == (10 if balanced else 5)
+
+
 def _accuracy(scored, labels, label):
     both = scored.filter("held_out").join(labels.filter(F.col(label).isNotNull()), "doc_id")
     rows = both.select(label, "predicted").toPandas()
