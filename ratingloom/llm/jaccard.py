@@ -179,7 +179,7 @@ def verified(block: pd.DataFrame, rule: Rule) -> list[tuple[int, int, int]]:
     """
     sets = [np.asarray(t, np.int64) for t in block["_tokens"]]
     keys, side, n = block["_key"].tolist(), block["_side"].to_numpy(), block["_n"].to_numpy()
-    cross = side.min() != side.max()
+    cross = block["_i"].iloc[0] != block["_j"].iloc[0]  # though one side may have no rows
     orders = [[np.asarray(p, np.int64) for p in block[f"_p{k}"]] for k in range(_ORDERS)]
     prefix, full = [_Postings(p) for p in orders], None
     links, root, out = np.zeros(len(keys), np.int64), np.arange(len(keys)), []

@@ -163,6 +163,15 @@ def test_join_tells_numbers_and_permuted_words_apart(spark):
     assert found == brute_join(rows)
 
 
+def test_links_count_once_where_a_side_is_empty(spark, monkeypatch):
+    r = random.Random(9)
+    rows = near_copies(r, 2, 400, 0, 5000)
+    rows[1] = (rows[1][0], rows[1][1] + " more")
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 100)  # two documents on eight sides
+    found = jaccard.join_similar(frame(spark, rows)).collect()
+    assert [x["n_links"] for x in found] == [1, 1]
+
+
 def brute_contamination(texts, items):
     windows = {}
     for i, t in items:
