@@ -4,8 +4,8 @@ A word enters as a learned vector of its own (hashed) beside the mean of learned
 of its character trigrams, so unseen spellings share what their parts have taught.  Both
 directions run over windows of words that overlap; attention pools the states of a
 window, a logistic unit scores it, and a text scores as its most toxic window.  Training
-is plain numpy: labels belong to whole texts, so after a first round over all windows
-each text is represented by the windows that score highest.
+is plain numpy: labels belong to whole texts, so after a first round over windows spread
+over each text it is represented by the windows that score highest of all.
 """
 
 from __future__ import annotations
@@ -32,7 +32,10 @@ from ratingloom.llm.common import (
 # Training takes at most so many documents of each label, of at most so many code points.
 SAMPLE_PER_CLASS = 1600
 SAMPLE_CHARS = 9_000
-WINDOW, STRIDE = 32, 26
+# Every word of a text from which a whole window follows starts one.
+WINDOW, STRIDE = 32, 1
+# The first round of training takes one start in so many, the later ones rank all.
+FIRST_APART = 26
 _BUCKETS, _WORD_DIM, _CHAR_DIM, _HIDDEN, _ATTEND = 1 << 13, 8, 16, 8, 8
 _CHUNK_CHARS = 1_000_000
 _BLOCK = 2048
@@ -78,19 +81,30 @@ def read_words(texts: list[str]) -> Words:
     )
 
 
-def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers by window and place, which places are filled, and windows of each text.
+def window_places(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each window begins, where its text stops, and windows of each text.
 
     A text of up to WINDOW words, or none, has one window; the last one reaches the end.
     """
     n = words.per_text
     count = np.maximum(-(-(n - WINDOW) // STRIDE), 0) + 1
     begin = np.repeat(np.cumsum(n) - n, count) + STRIDE * spread(np.zeros(len(n), int), count)
-    stop = np.repeat(np.cumsum(n), count)
+    return begin, np.repeat(np.cumsum(n), count), count
+
+
+def window_words(words: Words, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers by window and place, and which places are filled."""
     at = begin[:, None] + np.arange(WINDOW)
     filled = at < stop[:, None]
-    padded = np.append(words.number, 0)
-    return padded[np.where(filled, at, len(words.number))], filled, count
+    if not len(words.number):
+        return np.zeros(at.shape, np.int64), filled
+    return np.where(filled, words.number[np.minimum(at, len(words.number) - 1)], 0), filled
+
+
+def windows(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers by window and place, which places are filled, and windows of each text."""
+    begin, stop, count = window_places(words)
+    return *window_words(words, begin, stop), count
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -206,11 +220,11 @@ class Detector:
 
     def logits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Logits of all windows and the number of windows of each text."""
-        numbers, filled, count = windows(words)
+        begin, stop, count = window_places(words)
         projected = self.project(words)[1]
         parts = [
-            self.run(projected, numbers[i : i + _BLOCK], filled[i : i + _BLOCK])
-            for i in range(0, len(numbers), _BLOCK)
+            self.run(projected, *window_words(words, begin[i : i + _BLOCK], stop[i : i + _BLOCK]))
+            for i in range(0, len(begin), _BLOCK)
         ]
         return np.concatenate(parts), count
 
@@ -229,13 +243,15 @@ def train_detector(
 ) -> Detector:
     """Fit on texts with labels; ``share`` is the share of toxic texts to expect in use."""
     model, words = Detector(seed), read_words(texts)
-    numbers, filled, count = windows(words)
+    begin, stop, count = window_places(words)
     first, of_text = np.cumsum(count) - count, np.repeat(np.arange(len(count)), count)
     adam, r = Adam(model.p, 0.01), np.random.default_rng(seed)
     for k in range(rounds):
         adam.rate = 0.01 if k < rounds - 2 else 0.003
         if k < 1:
-            chosen = r.permutation(len(numbers))
+            offset = r.integers(np.minimum(count, FIRST_APART))
+            within = np.arange(len(begin)) - np.repeat(first + offset, count)
+            chosen = r.permutation(np.flatnonzero(within % FIRST_APART == 0))
         else:
             logit = model.logits(words)[0]
             ranked = np.lexsort((-logit, of_text))
@@ -245,8 +261,9 @@ def train_detector(
             chosen = r.permutation(chosen)
         for at in range(0, len(chosen), 256):
             batch = chosen[at : at + 256]
-            used, some = np.unique(numbers[batch], return_inverse=True)
-            part, some, on = only(words, used), some.reshape(-1, WINDOW), filled[batch]
+            numbers, on = window_words(words, begin[batch], stop[batch])
+            used, some = np.unique(numbers, return_inverse=True)
+            part, some = only(words, used), some.reshape(-1, WINDOW)
             vectors, projected = model.project(part)
             logit, kept = model.run(projected, some, on, keep=True)
             slope = ((_sigmoid(logit) - y[of_text[batch]]) / len(batch)).astype(np.float32)

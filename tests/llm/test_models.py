@@ -162,6 +162,15 @@ def test_windows_reach_every_word():
         assert len(set(numbers[own][filled[own]].tolist())) == n
 
 
+def test_a_passage_scores_alike_wherever_it_stands():
+    model = toxicity.Detector(5)
+    passage = [f"p{i}" for i in range(toxicity.WINDOW)]
+    alone = model.score([" ".join(passage)])[0]
+    for n in range(60):
+        words = ["x"] * n + passage + ["x"] * 70
+        assert model.score([" ".join(words)])[0] >= alone - 1e-6
+
+
 PAGE = (
     '<html><head><title>T</title><style>p{{}}</style></head><body><nav><a href="/">Home</a></nav>'
     "{main}<aside class=sidebar><p>Side words here</p></aside><form><label>Mail</label></form>"
