@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratingloom.llm import (
+    chat,
     contamination,
+    divergence,
     exact,
     jaccard,
     licences,
     markup,
+    negatives,
     packing,
     quality,
     secrets,
@@ -178,6 +182,121 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model)
 
 
+_OP11_SQL = r"""
+with docs as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as words
+  from documents
+),
+held as (select r, lang, source, unnest(words) as term from docs),
+kept as (select lang, term from held group by lang, term having count(distinct r) >= 10),
+grp as (select distinct lang, source from docs),
+v as (select lang, count(term) as v from (select distinct lang from grp) left join kept using (lang) group by lang),
+n as (select lang, source, term, count(*) as n from held join kept using (lang, term) group by all),
+total as (select lang, source, coalesce(sum(n), 0) as total from grp left join n using (lang, source) group by all),
+p as (
+  select lang, source, term, coalesce(n, 0) as n,
+         1 + (1000000000::hugeint * (coalesce(n, 0) + 2)) // (total + 2 * v) as p
+  from total join v using (lang) join kept using (lang) left join n using (lang, source, term)
+),
+q as (
+  select lang, term, 1 + (1000000000::hugeint * (sum(n) + 2)) // (any_value(all_of) + 2 * any_value(v)) as q
+  from n join (select lang, sum(total) as all_of from total group by lang) using (lang) join v using (lang)
+  group by lang, term
+),
+pair as (
+  select a.lang, a.source, b.source as item,
+         coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0) as value
+  from grp a join grp b on a.lang = b.lang and a.source <> b.source
+  left join p x on x.lang = a.lang and x.source = a.source
+  left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by all
+),
+term as (
+  select p.lang, p.source, p.term as item, ((p - q) * (p - q)) // (p + q) as value
+  from p join q using (lang, term) where n > 0 and p > q
+),
+ranked as (
+  select *, row_number() over (partition by part, lang, source order by value desc, item) as rank
+  from (select 'pair' as part, * from pair union all select 'term' as part, * from term)
+)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from ranked where part = 'pair' or rank <= 10
+"""
+
+
+@_query("op11_prefix_divergence", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(_table(spark, sf_dir, "documents"))
+
+
+_OP12_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all
+  select -7, turn, role, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) t (turn, role)
+),
+sized as (
+  select *, length('### ' || role || ': ' || text || chr(10) || '</turn>' || chr(10))
+    + len(regexp_extract_all(text, '### [A-Za-z0-9_.~%-]*: |</turn>')) as chars
+  from turns
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(chars) as bigint) as formatted_chars
+from sized group by conv_id
+"""
+
+
+@_query("op12_round_trip_chat", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    told = r"\### Assistant: </turn> ok"
+    planted = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, chat.LEARNT, told)], given.schema)
+    return chat.chat_digest(chat.format_conversations(given.unionByName(planted)))
+
+
+_OP13_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as x
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+  select a.vec_id as anchor_id, b.vec_id as vec_id, a.label = b.label as same,
+         cast(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) as bigint) as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id,
+       cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 5
+"""
+
+
+@_query("op13_threshold_negatives", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = rows.filter(F.col("label").isNotNull() & F.col("embedding").isNotNull() & finite)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    rows = rows.select("vec_id", label.alias("label"), whole.alias("vector"))
+    mined = negatives.mine_negatives(rows, F.col("vec_id") % 100 == 0)
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 def add_pipeline() -> None:
     """Register the whole pipeline, which lives at the repository's top."""
     import corpus_pipeline

@@ -12,7 +12,7 @@ DATA = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     cursor = con.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
@@ -23,8 +23,8 @@ def test_query_equals_sql(spark, name):
     assert sorted(repr(tuple(r[c] for c in order)) for r in df.collect()) == expected
 
 
-def test_eleven_queries():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+def test_all_queries():
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 def test_stages_keep_columns_and_take_effect(spark):
