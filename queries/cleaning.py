@@ -10,6 +10,7 @@ from queries.views import LINE_ORDER, ORDER_SQL, SQL, table, view
 from ratingloom.checkpoints import scratch_path
 from ratingloom.functions.cells import csv_cells
 from ratingloom.functions.text import sanitise
+from ratingloom.operators.features import with_row_ids
 from ratingloom.operators.ids import max_id, reassign_duplicate_ids
 from ratingloom.operators.normalise import clamp_negative, clamp_rating, normalise
 from ratingloom.operators.position import (
@@ -33,7 +34,7 @@ from ratingloom.operators.validate import (
     reason_counts,
 )
 from ratingloom.plans.cleaning import CleaningRun, check_rows, clean_file, clean_frame, strict_rows
-from ratingloom.sinks.tables import write_csv
+from ratingloom.sinks.tables import write_csv, write_table
 from ratingloom.sources.csv_tables import scan_clean
 from ratingloom.sources.raw_text import frame_records, scan_lines
 from ratingloom.sources.schema_file import PREDICT, PRODUCT, TRAIN, Layout
@@ -237,6 +238,53 @@ def clean_csv_round_trip(spark, sf_dir):
     return scan_clean(spark, path)
 
 
+# times and votes whose cells hold line breaks, as they may in valid rows
+_BREAKS = """
+select {columns}, id, user_id, prod_id, parent_prod_id, title, comment,
+  case when l_orderkey % 3 = 0 then concat(substr(time, 1, 4), chr(10), substr(time, 5))
+       else time end as time,
+  case when l_orderkey % 5 = 0 then concat(votes, chr(10)) else votes end as votes,
+  purchased, rating
+from ({reviews}) r"""
+
+
+def _with_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = _BREAKS.format(columns=ORDER_SQL, reviews="select * from {r}")
+    rows = spark.sql(text, r=view(spark, sf_dir, "reviews"))
+    return order_position(rows, LINE_ORDER).select(POS, *TRAIN.fields)
+
+
+_BREAKS_SQL = _BREAKS.format(columns=ORDER_SQL, reviews=SQL["reviews"])
+_BREAKS_CLEAN = f"""
+select {{row}}, user_id, prod_id, parent_prod_id, title, comment, time,
+  case when cast(replace(votes, chr(10), '') as bigint) < 0 then '0' else votes end as votes,
+  purchased, rating
+from ({_BREAKS_SQL}) b"""
+
+
+@query("clean_csv_breaks", _BREAKS_CLEAN.format(row="id"))
+def clean_csv_breaks(spark, sf_dir):
+    """Cells with line breaks through the CSV sink and the scan that splits files."""
+    path = scratch_path(spark, "clean")
+    write_table(normalise(_with_breaks(spark, sf_dir), TRAIN), path, "csv")
+    return scan_clean(spark, path)
+
+
+@query("csv_row_ids", _BREAKS_CLEAN.format(row=f"row_number() over (order by {ORDER_SQL}) - 1 as id"))
+def csv_row_ids(spark, sf_dir):
+    """Rows that come without ids are numbered in the order of the files' records."""
+    path = scratch_path(spark, "clean")
+    write_table(normalise(_with_breaks(spark, sf_dir), TRAIN).drop("id"), path, "csv")
+    return with_row_ids(scan_clean(spark, path, pos=True), [POS]).drop(POS)
+
+
+@query("strict_csv_breaks", f"select {', '.join(TRAIN.fields)} from ({_BREAKS_SQL}) b")
+def strict_csv_breaks(spark, sf_dir):
+    path = scratch_path(spark, "strict")
+    write_table(_with_breaks(spark, sf_dir), path, "csv")
+    return strict_rows(spark, path, TRAIN)
+
+
 # --- single operators ---------------------------------------------------------------
 
 

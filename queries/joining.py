@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from queries.registry import query
 from queries.views import SQL, view
 from ratingloom.checkpoints import scratch_path
+from ratingloom.operators.position import POS
 from ratingloom.operators.products import first_seen, lookup_products, merged_projection
 from ratingloom.plans.merging import merge_products
-from ratingloom.sinks.tables import write_merged
-from ratingloom.sources.csv_tables import scan_merged
+from ratingloom.sinks.tables import write_merged, write_table
+from ratingloom.sources.csv_tables import scan_clean, scan_merged
 from ratingloom.sources.schema_file import TRAIN
 
 # Product columns of the merged rows.
@@ -124,6 +125,21 @@ def merged_csv_scan(spark, sf_dir):
     return scan_merged(spark, path)
 
 
+@query(
+    "merge_from_csv",
+    f"""select {", ".join(f for f in TRAIN.fields)}, {_PROD_NAMES} from ({merged_sql("'NA'")}) m""",
+)
+def merge_from_csv(spark, sf_dir):
+    """The lookup on reviews and products that come from cleaned CSV: the first product of a
+    key is the first in its file."""
+    rows = []
+    for name, frame in (("reviews", reviews(spark, sf_dir)), ("products", products(spark, sf_dir))):
+        path = scratch_path(spark, name)
+        write_table(frame, path, "csv")
+        rows.append(scan_clean(spark, path, pos=True))
+    return merge_products(*rows).drop(POS)
+
+
 @query(
     "rating_by_branch",
     f"""with m as ({merged_sql('null')}),

@@ -7,14 +7,15 @@
   score  MERGED MODEL OUT        merged table -> OUT/predictions_float, OUT/predictions_int;
                                  --report R
 
-Tables between jobs are Parquet; ``clean --csv`` writes CSV instead, for export.
+Tables between jobs are Parquet, or CSV with ``--csv``: ``clean`` then writes it, ``merge`` reads
+and writes it, ``train`` and ``score`` read it.  Either way rows keep their file order.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ratingloom.operators.mlp import TrainConfig
 from ratingloom.plans.cleaning import clean_file
@@ -22,6 +23,7 @@ from ratingloom.plans.merging import TextModels, merge_with_embeddings
 from ratingloom.plans.scoring import run_scoring
 from ratingloom.plans.training import RatingModel, train_ratings
 from ratingloom.sinks.tables import write_cleaning, write_merged
+from ratingloom.sources.csv_tables import scan_clean, scan_merged
 from ratingloom.sources.schema_file import PREDICT, PRODUCT, TRAIN, read_layout
 
 _LAYOUTS = {layout.kind: layout for layout in (TRAIN, PREDICT, PRODUCT)}
@@ -38,12 +40,18 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
     models = TextModels.load(args.models) if args.reuse else None
-    merged, fitted = merge_with_embeddings(
-        spark.read.parquet(args.reviews), spark.read.parquet(args.products), models
+    reviews, products = (
+        scan_clean(spark, path, pos=True) if args.csv else spark.read.parquet(path)
+        for path in (args.reviews, args.products)
     )
+    merged, fitted = merge_with_embeddings(reviews, products, models)
     if args.models and not args.reuse:
         fitted.save(args.models)
-    write_merged(merged, args.out)
+    write_merged(merged, args.out, "csv" if args.csv else "parquet")
+
+
+def _merged(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    return scan_merged(spark, args.merged, pos=True) if args.csv else spark.read.parquet(args.merged)
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -54,14 +62,13 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
         weight_decay=args.weight_decay,
         early_stopping_patience=args.patience,
     )
-    merged = spark.read.parquet(args.merged)
-    run = train_ratings(merged, args.algo, config, report_path=args.report)
+    run = train_ratings(_merged(spark, args), args.algo, config, report_path=args.report)
     run.model.save(args.model)
 
 
 def score(spark: SparkSession, args: argparse.Namespace) -> None:
     model = RatingModel.load(args.model)
-    run_scoring(spark.read.parquet(args.merged), model, args.out, args.report)
+    run_scoring(_merged(spark, args), model, args.out, args.report)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -87,7 +94,9 @@ def _parser() -> argparse.ArgumentParser:
     sub = job(merge, "reviews", "products", "out")
     sub.add_argument("--models")
     sub.add_argument("--reuse", action="store_true")
+    sub.add_argument("--csv", action="store_true")
     sub = job(train, "merged", "model")
+    sub.add_argument("--csv", action="store_true")
     sub.add_argument("--report")
     sub.add_argument("--algo", default="mlp")
     sub.add_argument("--epochs", type=int, default=50)
@@ -96,6 +105,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--weight-decay", type=float, default=1e-6)
     sub.add_argument("--patience", type=int, default=10)
     sub = job(score, "merged", "model", "out")
+    sub.add_argument("--csv", action="store_true")
     sub.add_argument("--report")
     return parser
 

@@ -19,7 +19,7 @@ from ratingloom.functions.numbers import (
     strip_number,
 )
 from ratingloom.operators.lookup import fits_broadcast, unique_lookup
-from ratingloom.operators.position import number_rows, order_position, row_position
+from ratingloom.operators.position import POS, number_rows, order_position, row_position
 
 # Feature columns ahead of the embeddings, in model order.
 BASE = ("votes", "purchased", "time")
@@ -160,8 +160,11 @@ def feature_frame(
 
 
 def with_row_ids(df: DataFrame, order: Sequence[str | Column], name: str = "id") -> DataFrame:
-    """Rows that come without an id are numbered 0, 1, 2, ... in order."""
-    return df if name in df.columns else row_position(df, order, name)
+    """Rows that come without an id are numbered 0, 1, 2, ... in file order (``pos``), or
+    in ``order`` where they have no position either."""
+    if name in df.columns:
+        return df
+    return number_rows(df, name) if POS in df.columns else row_position(df, order, name)
 
 
 def feature_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -86,10 +86,10 @@ def lookup_products(
 
 
 def merged_columns(df: DataFrame) -> list[str]:
-    """Columns the merged table keeps: core, product, embeddings in column order."""
+    """Columns the merged table keeps: position, core, product, embeddings in column order."""
     from ratingloom.operators.features import is_embedding_column
 
-    kept = [c for c in (*MERGED_CORE, *MERGED_PRODUCT) if c in df.columns]
+    kept = [c for c in (POS, *MERGED_CORE, *MERGED_PRODUCT) if c in df.columns]
     return kept + [c for c in df.columns if is_embedding_column(c)]
 
 

@@ -21,7 +21,8 @@ def score_reviews(
 ) -> DataFrame:
     """``id, rating`` for every merged row, ratings in 1.0..5.0.
 
-    Rows without an ``id`` column are numbered by ``order`` (all columns by default).
+    Rows without an ``id`` column are numbered in file order, by ``pos``; without that
+    either by ``order`` (all columns by default).
     """
     if model.texts:
         require_embeddings(merged.columns, model.texts)
