@@ -92,15 +92,17 @@ def parse(page: str) -> Tree:
     """Read markup as a browser would, roughly: optional end tags, raw text, broken nesting."""
     tree = Tree(["#root"], [-1], [()], [])
     stack, at = [0], 0
+    places: dict[str, list[int]] = {}  # where in the stack elements of a name are open
+
+    def innermost(names: tuple[str, ...]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
 
     def close(names: tuple[str, ...], stops: tuple[str, ...]) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            name = tree.tag[stack[depth]]
-            if name in names:
-                del stack[depth:]
-                return
-            if name in stops:
-                return
+        depth = innermost(names)
+        if depth > innermost(stops):
+            for node in stack[depth:]:
+                places[tree.tag[node]].pop()
+            del stack[depth:]
 
     while True:
         found = _TOKEN.search(page, at)
@@ -113,8 +115,6 @@ def parse(page: str) -> Tree:
             continue
         name = found[2].lower()
         if found[1]:
-            if name == "p" and not any(tree.tag[i] == "p" for i in stack):
-                continue
             stops = () if name in _BLOCK else ("td", "th", "table", "body", "article", "div")
             close((name,), stops)
             continue
@@ -122,6 +122,8 @@ def parse(page: str) -> Tree:
             close(("p",), ("table", "button", "td", "th", "div", "article", "section", "li"))
         if name in _CLOSES:
             close(*_CLOSES[name])
+        if name == "br":
+            tree.text.append((stack[-1], " "))  # white space where it stands
         names: list[str] = []
         if found[3] and "=" in found[3]:
             for a in _ATTRIBUTE.findall(found[3]):
@@ -135,6 +137,7 @@ def parse(page: str) -> Tree:
             tree.text.append((node, page[at : end.start() if end else len(page)]))
             at = end.end() if end else len(page)
         elif name not in _VOID and not found[3].endswith("/"):
+            places.setdefault(name, []).append(len(stack))
             stack.append(node)
     if at < len(page):
         tree.text.append((stack[-1], page[at:]))
@@ -262,7 +265,8 @@ def decode(tree: Tree, logit: np.ndarray) -> np.ndarray:
 
 
 def kept_text(tree: Tree, keep: np.ndarray) -> str:
-    """Kept texts with references decoded: one line per block, white space as one space."""
+    """Kept texts with references decoded, white space as one space; blocks are parted by two
+    line feeds."""
     blocks: list[str] = []
     held: list[str] = []
     owner: dict[int, int] = {}
@@ -283,12 +287,7 @@ def kept_text(tree: Tree, keep: np.ndarray) -> str:
         held.clear()
 
     now = -1
-    pieces = [(node, text) for node, text in tree.text]
-    breaks = {i for i, t in enumerate(tree.tag) if t == "br"}
-    if breaks:
-        # a line break stands between two texts; it is white space inside its block
-        pieces = _with_breaks(tree, pieces, breaks)
-    for node, text in pieces:
+    for node, text in tree.text:
         if not keep[node] or tree.tag[node] in _RAW:
             continue
         block = block_of(node)
@@ -297,13 +296,7 @@ def kept_text(tree: Tree, keep: np.ndarray) -> str:
             now = block
         held.append(text)
     finish()
-    return "\n".join(blocks)
-
-
-def _with_breaks(tree: Tree, pieces: list, breaks: set[int]) -> list:
-    """Add a blank to every text whose owner holds a line break."""
-    holders = {tree.parent[i] for i in breaks}
-    return [(node, text + " " if node in holders else text) for node, text in pieces]
+    return "\n\n".join(blocks)
 
 
 def teacher_labels(tree: Tree) -> np.ndarray | None:

@@ -32,10 +32,11 @@ from ratingloom.llm.common import (
 # Training takes at most so many documents of each label, of at most so many code points.
 SAMPLE_PER_CLASS = 1600
 SAMPLE_CHARS = 9_000
-# Every word of a text from which a whole window follows starts one.
-WINDOW, STRIDE = 32, 1
-# The first round of training takes one start in so many, the later ones rank all.
-FIRST_APART = 26
+# A window starts at every fourth word, so a passage of up to WINDOW - STRIDE + 1 = 29 words
+# lies whole in one, wherever it stands.
+WINDOW, STRIDE = 32, 4
+# The first round of training takes one window in so many, the later ones rank all.
+FIRST_APART = 6
 _BUCKETS, _WORD_DIM, _CHAR_DIM, _HIDDEN, _ATTEND = 1 << 13, 8, 16, 8, 8
 _CHUNK_CHARS = 1_000_000
 _BLOCK = 2048
@@ -300,7 +301,8 @@ def score_toxicity(docs: DataFrame, model: Detector, threshold: float = 0.3) ->
     """doc_id, held_out, score and predicted for every row, in one narrow pass.
 
     A null text counts as empty and scores as one empty window.  Every window of a text
-    of any length is scored.  Repeated rows are scored alike, an empty table gives no
+    of any length is scored; windows start STRIDE words apart, so every passage of up to
+    WINDOW - STRIDE + 1 words lies whole in one.  Repeated rows are scored alike, an empty table gives no
     rows, and columns beside doc_id and text are not looked at.
     """
     kind = docs.select("doc_id").schema["doc_id"].dataType.simpleString()

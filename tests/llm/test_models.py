@@ -1,5 +1,8 @@
 """Quality, toxicity, markup and secrets: held-out accuracy and hand-made cases."""
 
+import html
+import re
+import time
 import zlib
 
 import numpy as np
@@ -162,13 +165,22 @@ def test_windows_reach_every_word():
         assert len(set(numbers[own][filled[own]].tolist())) == n
 
 
-def test_a_passage_scores_alike_wherever_it_stands():
+def test_a_passage_lies_whole_in_a_window_wherever_it_stands():
+    whole = toxicity.WINDOW - toxicity.STRIDE + 1
+    passage = [f"p{i}" for i in range(whole)]
+    for n in range(60):
+        for behind in range(0, 70, 7):
+            words = toxicity.read_words([" ".join(["x"] * n + passage + ["y"] * behind)])
+            begin, stop, _ = toxicity.window_places(words)
+            assert ((begin <= n) & (np.minimum(begin + toxicity.WINDOW, stop) >= n + whole)).any()
+
+
+def test_a_window_scores_alike_wherever_it_stands():
     model = toxicity.Detector(5)
     passage = [f"p{i}" for i in range(toxicity.WINDOW)]
     alone = model.score([" ".join(passage)])[0]
-    for n in range(60):
-        words = ["x"] * n + passage + ["x"] * 70
-        assert model.score([" ".join(words)])[0] >= alone - 1e-6
+    for n in range(0, 60, toxicity.STRIDE):
+        assert model.score([" ".join(["x"] * n + passage + ["x"] * 70)])[0] >= alone - 1e-6
 
 
 PAGE = (
@@ -177,7 +189,7 @@ PAGE = (
     '<section id="comments"><p>Nice post, thank you</p></section><footer>&copy; x</footer></body></html>'
 )
 BODY = "<h1>Head &amp; tail</h1><p>First  para<br>goes\non <b>bold</b> text" + " more" * 40 + "<p>Second &lt;one&gt;.</p>"
-TEXT = "Head & tail\nFirst para goes on bold text" + " more" * 40 + "\nSecond <one>."
+TEXT = "Head & tail\n\nFirst para goes on bold text" + " more" * 40 + "\n\nSecond <one>."
 
 
 @pytest.fixture(scope="module")
@@ -190,6 +202,41 @@ def test_main_text_of_pages(extractor, tag):
     assert markup.main_text([PAGE.format(main=tag.format(BODY))], extractor) == [TEXT]
 
 
+def plain_article(page):
+    """Text of the page's one article by cutting markup with patterns alone."""
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    inner = re.sub(r"<(script|style|nav|aside|form|footer|header)\b.*?</\1>", "<p>", inner, flags=re.S)
+    inner = re.sub(r"<!--.*?-->", "", inner, flags=re.S)
+    blocks = re.split(r"</?(?:p|h\d|div|ul|ol|li|blockquote|pre|table|tr|td|th|section|figure|figcaption)\b[^>]*>", inner)
+    texts = (html.unescape(re.sub(r"<[^>]+>", "", re.sub(r"<br\s*/?>", " ", b))) for b in blocks)
+    return "\n\n".join(t for t in (" ".join(t.split()) for t in texts) if t)
+
+
+def test_articles_of_given_pages_come_out_whole(tables, extractor):
+    pages = [r["html"] for r in tables["pages"].select("html").collect()]
+    found = markup.main_text(pages, extractor)
+    wrong = [i for i, (p, t) in enumerate(zip(pages, found, strict=True)) if plain_article(p) != t]
+    assert len(pages) > 100 and not wrong
+
+
+def test_line_breaks_part_words_only_where_they_stand():
+    tree = markup.parse("<p>un<b>believ</b>able<br>x<i>y</i>z<br/>w</p><div>a<br>b</div>")
+    assert markup.kept_text(tree, np.ones(len(tree.tag), bool)) == "unbelievable xyz w\n\na b"
+
+
+def test_end_tags_close_what_they_may():
+    tree = markup.parse("<div><p>a<span>b</p>c</span></i>d<ul><li>e<li>f<ul><li>g</ul>h</ul></div><td>i</tr>j")
+    text = [(tree.tag[node], t) for node, t in tree.text]
+    assert text == [("p", "a"), ("span", "b"), ("div", "c"), ("div", "d"), ("li", "e"), ("li", "f"), ("li", "g"), ("li", "h"), ("td", "i"), ("td", "j")]
+
+
+@pytest.mark.parametrize("page", ["<span>" * 60_000 + "</x>" * 60_000, "<b><div>" + "<span>" * 60_000 + "</b>" * 60_000, "<p>" * 60_000 + "</p>" * 60_000])
+def test_broken_nesting_takes_linear_time(page):
+    began = time.process_time()
+    markup.parse(page)
+    assert time.process_time() - began < 5
+
+
 def test_extraction_of_odd_pages(spark, extractor):
     rows = [(1, None, None, "a"), (2, "u", "", "b"), (None, "v", "<article><p>cut &am", "c"), (4, "w", "plain < text", "d"),
             (5, "x", "<script>" + "x" * 300_000, "e")]
@@ -208,7 +255,6 @@ def test_no_kept_node_below_a_dropped_one(tables, extractor):
 
 
 def _brute_secrets(text):
-    import re
 
     found = []
     for kind, pattern, group, least in (
