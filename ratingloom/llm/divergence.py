@@ -36,7 +36,7 @@ from ratingloom.operators.lookup import bounded_broadcast, fits_broadcast
 # A term is kept where at least so many documents of its language hold it.
 LEAST_DOCUMENTS = 10
 # Bytes of the first level's prefixes; every further level doubles them.
-FIRST_BYTES = 3
+FIRST_BYTES = 4
 # Ranks that the terms of a group are reported to.
 TOP_TERMS = 10
 # Terms and sources of a block, about.
@@ -48,15 +48,19 @@ _FLUSH = 200_000
 _WORDS = "lang string, source string, terms array<struct<t: binary, n: int, d: int>>"
 
 
-def shared_bytes(terms: list[bytes], opens: np.ndarray) -> np.ndarray:
+def shared_bytes(terms: pa.BinaryArray, opens: np.ndarray) -> np.ndarray:
     """Bytes that each term shares with the one before; 0 where ``opens`` says a document begins."""
-    heads = np.array(terms, f"S{_HEAD}").view(np.uint8).reshape(-1, _HEAD)
-    differ = heads[1:] != heads[:-1]
+    offsets, data = (np.frombuffer(b, t) for b, t in zip(terms.buffers()[1:], (np.int32, np.uint8), strict=True))
+    data = np.append(data, np.zeros(_HEAD, np.uint8))  # terms hold no zero bytes
+    first, size = offsets[: len(terms)], np.diff(offsets[: len(terms) + 1])
+    heads = np.lib.stride_tricks.sliding_window_view(data, _HEAD)[first]
+    inside = np.arange(_HEAD) < np.minimum(size[1:], size[:-1])[:, None]
+    differ = (heads[1:] != heads[:-1]) | ~inside
     shared = np.zeros(len(terms), np.int32)
     shared[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), _HEAD)
     shared[opens] = 0
     for i in np.flatnonzero(shared == _HEAD):
-        shared[i] = len(os.path.commonprefix((terms[i - 1], terms[i])))
+        shared[i] = len(os.path.commonprefix((terms[i - 1].as_py(), terms[i].as_py())))
     return shared
 
 
@@ -70,8 +74,9 @@ def document_terms(docs: DataFrame) -> DataFrame:
     def packed(langs, sources, terms, counts, sizes) -> pa.RecordBatch:
         ends = np.cumsum(sizes, dtype=np.int32)
         begins = ends - sizes
-        shared = shared_bytes(terms, begins[sizes > 0]) if terms else np.zeros(0, np.int32)
-        parts = (pa.array(terms, pa.binary()), pa.array(counts, pa.int32()), pa.array(shared, pa.int32()))
+        terms = pa.array(terms, pa.binary())
+        shared = shared_bytes(terms, begins[sizes > 0]) if len(terms) else np.zeros(0, np.int32)
+        parts = (terms, pa.array(counts, pa.int32()), pa.array(shared, pa.int32()))
         lists = pa.ListArray.from_arrays(
             pa.array(np.append(0, ends), pa.int32()), pa.StructArray.from_arrays(parts, ["t", "n", "d"])
         )
@@ -196,7 +201,10 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_
     key = ["lang", "source", "_bucket", "_place", "t"]
     if fits_broadcast(terms):
         counts = rows.join(F.broadcast(terms), ["lang", "t"]).groupBy(*key).agg(F.sum("n").alias("n"))
-    else:  # what is shuffled has been added up first
+    else:  # what is shuffled has been added up, and hashes leave out most of the rare terms
+        hashes = terms.select(F.xxhash64("lang", "t").alias("_h"))
+        if fits_broadcast(hashes):
+            rows = rows.join(F.broadcast(hashes.distinct()), F.xxhash64("lang", "t") == F.col("_h"), "left_semi")
         counts = rows.groupBy("lang", "source", "t").agg(F.sum("n").alias("n")).join(terms, ["lang", "t"])
     counts = stage(counts.select(*key, "n"), "term-counts")
 

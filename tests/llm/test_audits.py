@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -102,7 +103,7 @@ def test_shares_of_huge_counts_are_exact(spark):
 
 def test_terms_know_what_they_share():
     terms = [b"a", b"ab", b"abc", b"b", b"a" * 40, b"a" * 40 + b"b", b"abc"]
-    assert divergence.shared_bytes(terms, np.array([0, 6])).tolist() == [0, 1, 2, 0, 0, 40, 0]
+    assert divergence.shared_bytes(pa.array(terms, pa.binary()), np.array([0, 6])).tolist() == [0, 1, 2, 0, 0, 40, 0]
 
 
 # --- chat -------------------------------------------------------------------------------------
