@@ -1,5 +1,8 @@
 """Raw review and product files, against rows derived by hand."""
 
+import random
+import re
+
 import pytest
 
 from ratingloom.operators.validate import REASONS
@@ -106,6 +109,31 @@ def test_framing_does_not_depend_on_splits(spark, train_file, size):
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("header", [True, False])
+def test_random_framing_equals_a_regex_split(spark, tmp_path, header):
+    r = random.Random(5)
+    expected = []
+    for k in range(4):
+        lines = ["head"] if header else []
+        for _ in range(120):
+            start = f"{r.randrange(99)},{U(1)}," if r.random() < 0.6 else ""
+            lines.append(start + "x" * r.choice([0, 1, 5, 60]))
+        lines += ["y" * 50] * 40 if k == 2 else []  # splits without any start
+        (tmp_path / f"f{k}.csv").write_text("\n".join(lines) + "\n")
+        body = "\n".join(lines[header:])
+        expected += [c.strip("\n") for c in re.split(r"\n(?=\d+,u_[A-Za-z0-9]{16},)", body) if c.strip("\n")]
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    for n, v in zip(names, ("400", "1")):
+        spark.conf.set(n, v)
+    try:
+        records = frame_records(scan_lines(spark, str(tmp_path)), header).orderBy("pos").collect()
+    finally:
+        for n in names:
+            spark.conf.unset(n)
+    assert [x["record"] for x in records] == expected
+    assert len({x["pos"] for x in records}) == len(expected)
+
+
 def test_lines_ahead_of_the_first_record_and_several_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text(f"head\n\njunk1\njunk2\n{LINES[0]}\n\nmore\n\n")
     (tmp_path / "b.csv").write_text(f"{LINES[1]}\nstray\n{LINES[2]}")
