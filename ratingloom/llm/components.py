@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.checkpoints import stage
+from ratingloom.operators.lookup import unique_lookup
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -13,17 +14,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
     Large star: of a node's neighbours, the larger ones hang on the smallest of all.
     Small star: a node and its smaller neighbours hang on the smallest of them.  The
-    smallest neighbour is an aggregate that tasks prepare; no neighbourhood is gathered.
+    smallest neighbour is an aggregate that tasks prepare; no neighbourhood is gathered,
+    and the edges of a node with very many of them meet it in many tasks.
     """
     if large:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
-        least = least.select(F.col("a").alias("_u"), F.least("a", "m").alias("m"))
-        joined = both.join(least, F.col("a") == F.col("_u")).filter(F.col("b") > F.col("a"))
+        least = stage(least.select(F.col("a").alias("_u"), F.least("a", "m").alias("m")), "least")
+        joined = unique_lookup(both.filter(F.col("b") > F.col("a")), least, "a", "_u", "inner")
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "_u")
-        joined = edges.join(least, F.col("a") == F.col("_u"))
+        least = stage(edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "_u"), "least")
+        joined = unique_lookup(edges, least, "a", "_u", "inner")
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select(F.col("_u").alias("a"), F.col("m").alias("b"))
         )
@@ -47,6 +49,6 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             double = now.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1")
             if double.isEmpty():
                 break
-        now = stage(_star(_star(now, large=True), large=False), name)
+        now = stage(_star(stage(_star(now, large=True), name), large=False), name)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -163,12 +163,19 @@ class _Postings:
         self.row = np.repeat(np.arange(len(rows)), sizes)[order]
         self.token, self.first = np.unique(tokens[order], return_index=True)
         self.count = np.diff(np.append(self.first, len(tokens)))
-        self.size = len(rows)
+        self.slot = np.full(len(rows), -1)
 
-    def shared(self, tokens: np.ndarray) -> np.ndarray:
-        """How many of ``tokens`` each row holds."""
+    def holders(self, tokens: np.ndarray) -> np.ndarray:
+        """The rows that hold one of ``tokens``, once for each that they hold."""
         at = np.searchsorted(self.token, tokens)
-        return np.bincount(self.row[spread(self.first[at], self.count[at])], minlength=self.size)
+        return self.row[spread(self.first[at], self.count[at])]
+
+    def shared(self, tokens: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """How many of ``tokens`` each of ``rows`` holds; other rows cost nothing but their postings."""
+        self.slot[rows] = np.arange(len(rows))
+        found = self.slot[self.holders(tokens)]
+        self.slot[rows] = -1
+        return np.bincount(found[found >= 0], minlength=len(rows))
 
 
 def verified(block: pd.DataFrame, rule: Rule) -> list[tuple[int, int, int]]:
@@ -182,29 +189,29 @@ def verified(block: pd.DataFrame, rule: Rule) -> list[tuple[int, int, int]]:
     cross = block["_i"].iloc[0] != block["_j"].iloc[0]  # though one side may have no rows
     orders = [[np.asarray(p, np.int64) for p in block[f"_p{k}"]] for k in range(_ORDERS)]
     prefix, full = [_Postings(p) for p in orders], None
-    links, root, out = np.zeros(len(keys), np.int64), np.arange(len(keys)), []
+    links, parent, out = np.zeros(len(keys), np.int64), np.arange(len(keys)), []
     for i in range(len(keys)):
-        maybe = np.ones(len(keys), bool)
-        maybe[i:] = False
+        near = prefix[0].holders(orders[0][i])
+        near = np.unique(near[near < i])
         if cross:
-            maybe &= side != side[i]
-        for k in range(_ORDERS):
-            if maybe.any():
-                maybe &= prefix[k].shared(orders[k][i]) > 0
-        maybe &= rule.sizes(n, n[i])
-        if not maybe.any():
+            near = near[side[near] != side[i]]
+        near = near[rule.sizes(n[near], n[i])]
+        for k in range(1, _ORDERS):
+            if len(near):
+                near = near[prefix[k].shared(orders[k][i], near) > 0]
+        if not len(near):
             continue
         if full is None:
             full = _Postings(sets)
-        near = np.flatnonzero(maybe)
-        near = near[rule.linked(full.shared(sets[i])[near], n[near], n[i])]
+        near = near[rule.linked(full.shared(sets[i], near), n[near], n[i])]
         links[i] += len(near)
         links[near] += 1
-        for other in np.unique(root[near]):
-            if other != root[i]:
-                out.append((keys[i], keys[near[root[near] == other][0]], 0))
-        mine = np.isin(root, np.append(root[near], root[i]))
-        root[mine] = root[mine].min()
+        roots = parent[near]
+        while (parent[roots] != roots).any():
+            roots = parent[roots]
+        joins, one = np.unique(roots, return_index=True)
+        out += [(keys[i], keys[j], 0) for j in near[one]]
+        parent[near] = parent[joins] = i
     return out + [(key, key, int(c)) for key, c in zip(keys, links, strict=True) if c]
 
 
@@ -246,12 +253,11 @@ def _linked_nodes(docs: DataFrame, sets: DataFrame, reps: DataFrame, rule: Rule)
     wanted = stage(placed.select(F.col("_id").alias("_w")).distinct(), "wanted")
     texts = docs.select("doc_id", "text")
     texts = texts.join(bounded_broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("_w")), "left_semi")
-    whole = _sets(texts, rule, whole=True).select("_key", "_n", "_tokens")
+    whole = _sets(texts, rule, whole=True).select("_key", "_n", "_tokens").dropDuplicates(["_key"])
     whole = whole.join(prefixes.withColumnRenamed("_key", "_k"), F.col("_key") == F.col("_k")).drop("_k")
     tasks = whole.join(placed.drop("_id"), F.col("_key") == F.col("node")).drop("node")
 
     def checked(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.drop_duplicates("_key")
         return pd.DataFrame(verified(block, rule), columns=["_a", "_b", "_links"])
 
     found = tasks.groupBy("_cut", "_group", "_i", "_j").applyInPandas(
@@ -269,16 +275,18 @@ def join_similar(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B0
     id are rows of their own; a null id is larger than others.  Sets are told apart by
     64-bit hashes.  An empty table gives no rows; other columns are not looked at.
     """
-    sets = stage(_sets(docs, rule, whole=False), "sets")
+    sets = stage(_sets(docs, rule, whole=False).withColumn("_row", F.monotonically_increasing_id()), "sets")
     filled = sets.filter("_n > 0")
     groups = filled.groupBy(F.col("_key").alias("_k")).agg(
-        F.min("_id").alias("_first"), F.count("*").alias("_rows")
+        F.min("_id").alias("_first"), F.min("_row").alias("_lead"), F.count("*").alias("_rows")
     )
     several = stage(groups.filter("_rows > 1").drop("_rows"), "equal-sets")
+    # one row of each set, whether its copies have ids of their own or the same one
     reps = unique_lookup(filled, several, "_key", "_k").filter(
-        F.col("_k").isNull() | F.col("_id").eqNullSafe(F.col("_first"))
+        F.col("_k").isNull() | (F.col("_row") == F.col("_lead"))
     )
-    reps = reps.select("_key", "_id", "_n", "_front", "_tokens")
+    first = F.when(F.col("_k").isNull(), F.col("_id")).otherwise(F.col("_first"))
+    reps = reps.select("_key", first.alias("_id"), "_n", "_front", "_tokens")
     links = _linked_nodes(docs, sets, reps, rule)
     joined = components(links.select(F.col("_a").alias("a"), F.col("_b").alias("b")), "joined")
     ids = reps.select(F.col("_key").alias("_k"), "_id")

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from ratingloom.llm import contamination, exact, jaccard, licences, packing, urls
@@ -172,6 +174,33 @@ def test_links_count_once_where_a_side_is_empty(spark, monkeypatch):
     assert [x["n_links"] for x in found] == [1, 1]
 
 
+def test_join_with_very_many_copies_of_a_row(spark):
+    r = random.Random(10)
+    text = " ".join(f"w{i}" for i in range(30))
+    near = text.replace("w0 ", "changed ")
+    rows = [(5, text)] * 500 + [(9, text)] * 40 + [(7, near)] * 300 + [(None, text)] * 20 + [(8, "a b c d e f g h")] * 50
+    rows += near_copies(r, 20, 40, 1, 100)
+    found = jaccard.join_similar(frame(spark, rows)).collect()
+    assert sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in found if x["doc_id"] is not None) == brute_join(rows)
+    assert {x["n_links"] for x in found if x["doc_id"] in (5, 7, 9)} == {1}
+    assert len(jaccard.drop_similar(frame(spark, rows)).filter("doc_id = 5").collect()) == 500
+
+
+def test_links_of_very_many_short_sets_take_seconds():
+    n = 170_000
+    r = np.random.default_rng(1)
+    tokens = r.integers(0, 1 << 60, (n, 12))
+    tokens[1::2, 1:] = tokens[::2, 1:]  # 11 of 13 tokens are shared: 84.6 percent
+    tokens[3::4, 0] = tokens[2::4, 0]
+    block = pd.DataFrame({"_key": np.arange(n), "_side": 0, "_n": 12, "_i": 0, "_j": 0, "_tokens": list(np.sort(tokens, axis=1))})
+    for k in range(2):
+        block[f"_p{k}"] = [t[k : k + 3] for t in block["_tokens"]]
+    began = time.process_time()
+    found = jaccard.verified(block, jaccard.Rule())
+    assert time.process_time() - began < 60
+    assert {(a, b) for a, b, c in found if a != b} == {(i + 1, i) for i in range(2, n, 4)}
+
+
 def brute_contamination(texts, items):
     windows = {}
     for i, t in items:
