@@ -145,6 +145,44 @@ class Detector:
         chars /= np.sqrt(words.trigrams_of)[:, None].astype(np.float32)
         return np.hstack((self.p["word"][words.bucket], chars))
 
+    def score_windows(self, projected: list, numbers: np.ndarray, filled: np.ndarray) -> np.ndarray:
+        """Logits of windows as ``run`` gives them, without what a pass back needs: every
+        gate has arrays of its own, so that each step works on contiguous numbers."""
+        p, h, n, half = self.p, _HIDDEN, len(numbers), np.float32(0.5)
+        at, on = np.ascontiguousarray(numbers.T), np.ascontiguousarray(filled.T)
+        full = on.all(axis=1)
+        states = np.empty((2, WINDOW, n, h), np.float32)
+        for way in (0, 1):
+            # a sigmoid is half of one more than the tanh of the half
+            both = np.split(p[f"gate{way}"] * half, 2, axis=1)
+            reset_u, update_u = (np.ascontiguousarray(u) for u in both)
+            parts = np.split(projected[way] * np.repeat(np.float32([0.5, 0.5, 1]), h), 3, axis=1)
+            reset_x, update_x, cand_x = (np.ascontiguousarray(x) for x in parts)
+            state = np.zeros((n, h), np.float32)
+            for t in range(WINDOW) if way == 0 else range(WINDOW - 1, -1, -1):
+                reset, update = state @ reset_u, state @ update_u
+                for gate, x in ((reset, reset_x), (update, update_x)):
+                    gate += x.take(at[t], axis=0)
+                    np.tanh(gate, out=gate)
+                    gate += 1
+                    gate *= half
+                reset *= state
+                cand = reset @ p[f"cand{way}"]
+                cand += cand_x.take(at[t], axis=0)
+                np.tanh(cand, out=cand)
+                new = np.subtract(state, cand, out=states[way, t])
+                new *= update
+                new += cand
+                if way == 1 and not full[t]:
+                    new *= on[t][:, None]
+                state = new
+        forward, backward = states.reshape(2, -1, h)
+        looked = np.tanh(forward @ p["look"][:h] + backward @ p["look"][h:])
+        weight = np.where(on, (looked @ p["query"]).reshape(WINDOW, n), np.float32(-1e9))
+        weight = np.exp(weight - weight.max(0))
+        worth = (forward @ p["out"][:h] + backward @ p["out"][h:]).reshape(WINDOW, n)
+        return (weight * worth).sum(0) / weight.sum(0) + p["shift"]
+
     def run(self, projected: list, numbers: np.ndarray, filled: np.ndarray, keep: bool = False):
         """Logits of windows; with ``keep`` also what the pass back needs."""
         p, h, n = self.p, _HIDDEN, len(numbers)
@@ -224,7 +262,7 @@ class Detector:
         begin, stop, count = window_places(words)
         projected = self.project(words)[1]
         parts = [
-            self.run(projected, *window_words(words, begin[i : i + _BLOCK], stop[i : i + _BLOCK]))
+            self.score_windows(projected, *window_words(words, begin[i : i + _BLOCK], stop[i : i + _BLOCK]))
             for i in range(0, len(begin), _BLOCK)
         ]
         return np.concatenate(parts), count

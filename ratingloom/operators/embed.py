@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 ENCODER_DIM = 384
 COMPRESSED_DIM = 32
 BATCH = 256
+# Groups that tasks' sums are merged in before the driver adds them up.
+_MERGERS = 16
 
 
 # --- encode -------------------------------------------------------------------
@@ -47,14 +49,36 @@ def _words_pipeline(column: str, out: str, dim: int) -> Pipeline:
     )
 
 
+def distinct_texts(df: DataFrame, column: str, weight: str = "weight") -> DataFrame:
+    """Each text of a column once, NULL as empty, with the number of rows that hold it."""
+    return df.groupBy(F.coalesce(column, F.lit("")).alias(column)).agg(F.count("*").alias(weight))
+
+
 def fit_encoder(
-    df: DataFrame, column: str, out: str | None = None, dim: int = ENCODER_DIM
+    df: DataFrame,
+    column: str,
+    out: str | None = None,
+    dim: int = ENCODER_DIM,
+    weight: str | None = None,
 ) -> PipelineModel:
     """Default encoder: hashed words, weighted by rarity, unit length.  JVM only;
-    fitting is one pre-aggregated pass over the text column."""
-    return _words_pipeline(column, out or f"{column}_vec", dim).fit(
-        df.select(F.coalesce(column, F.lit("")).alias(column))
-    )
+    fitting is one pre-aggregated pass over the text column.
+
+    With ``weight`` a row counts as that many rows: ``distinct_texts`` gives the encoder
+    that all rows would give, and reads each text once.
+    """
+    out = out or f"{column}_vec"
+    texts = df.select(F.coalesce(column, F.lit("")).alias(column), *([weight] if weight else []))
+    if weight is None:
+        return _words_pipeline(column, out, dim).fit(texts)
+    words, _, _, unit = _words_pipeline(column, out, dim).getStages()
+    seen = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim, binary=True)
+    held = seen.transform(words.transform(texts))
+    counted = Summarizer.metrics("sum").summary(F.col("_tf"), F.col(weight).cast("double"))
+    found = held.select(counted.alias("s"), F.sum(weight).alias("rows")).first()
+    rarity = np.log((found["rows"] + 1.0) / (found["s"]["sum"].toArray() + 1.0))
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(rarity), inputCol="_tf", outputCol="_idf")
+    return PipelineModel([words, seen.copy({seen.binary: False}), scale, unit])
 
 
 def encode_text(df: DataFrame, encoder: PipelineModel, column: str) -> DataFrame:
@@ -168,8 +192,59 @@ class Compressor:
         )
 
 
+def weighted_moments(df: DataFrame, column: str, weight: str) -> tuple[float, np.ndarray, np.ndarray]:
+    """Total weight, mean and covariance of weighted vectors.
+
+    Every task adds up its rows to one matrix; the matrices are added in groups on the
+    executors, so the driver sees a few, whatever the rows.
+    """
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            if batch.empty:
+                continue
+            x, w = np.stack(batch["x"].to_numpy()), batch["w"].to_numpy(float)
+            x = np.hstack((np.ones((len(x), 1)), x))  # the first row and column hold the sums
+            part = (x * w[:, None]).T @ x
+            total = part if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"m": [total.tobytes()]})
+
+    def merged(parts: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"m": [sum(np.frombuffer(m) for m in parts["m"]).tobytes()]})
+
+    rows = as_vector(df.select(column, weight), column)
+    rows = rows.select(vector_to_array(column).alias("x"), F.col(weight).cast("double").alias("w"))
+    parts = rows.mapInPandas(summed, "m binary").withColumn("g", F.spark_partition_id() % _MERGERS)
+    found = parts.groupBy("g").applyInPandas(lambda p: merged(p), "m binary").collect()
+    if not found:
+        return 0.0, np.zeros(0), np.zeros((0, 0))
+    total = sum(np.frombuffer(r["m"]) for r in found)
+    total = total.reshape(int(np.sqrt(len(total))), -1)
+    n, mean = total[0, 0], total[0, 1:] / total[0, 0]
+    return n, mean, (total[1:, 1:] - n * np.outer(mean, mean)) / max(n - 1, 1)
+
+
+def _matching_frame(df: DataFrame, column: str, weight: str) -> tuple[DataFrame, int]:
+    """Two rows per dimension with the mean and the covariance of the weighted rows, and the
+    number of rows those stand for: what is fitted on either is the same."""
+    n, mean, covariance = weighted_moments(df, column, weight)
+    if not n:
+        return df.select(column), 0
+    spread, axes = np.linalg.eigh(covariance)
+    step = axes * np.sqrt(np.maximum(spread, 0) * (2 * len(mean) - 1) / 2)
+    rows = [(Vectors.dense(mean + sign * s),) for s in step.T for sign in (1, -1)]
+    return df.sparkSession.createDataFrame(rows, [column]), int(n)
+
+
 def fit_compressor(
-    df: DataFrame, column: str, k: int = COMPRESSED_DIM, method: str = "pca", seed: int = 0
+    df: DataFrame,
+    column: str,
+    k: int = COMPRESSED_DIM,
+    method: str = "pca",
+    seed: int = 0,
+    weight: str | None = None,
 ) -> Compressor:
     """Mean and first ``k`` principal directions of a vector or array column.
 
@@ -177,8 +252,11 @@ def fit_compressor(
     covariance is summed in a tree on the executors; only it reaches the driver.
     Directions have their largest loading positive.  ``method='random'`` takes a
     seeded Gaussian projection instead.  Fitting reads ``df`` a few times: stage it
-    if it is costly.
+    if it is costly.  With ``weight`` a row counts as that many rows.
     """
+    if weight is not None:
+        matched, rows = _matching_frame(df, column, weight)
+        return fit_compressor(matched, column, min(k, rows), method, seed)
     vectors = as_vector(df.select(column), column)
     summary = vectors.select(
         Summarizer.metrics("mean", "count").summary(F.col(column)).alias("s")

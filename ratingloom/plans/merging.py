@@ -6,21 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ratingloom.checkpoints import stage
 from ratingloom.operators.embed import (
     COMPRESSED_DIM,
     ENCODER_DIM,
     Compressor,
+    distinct_texts,
     encode_text,
     expand_embedding,
     fit_compressor,
     fit_encoder,
 )
+from ratingloom.operators.lookup import unique_lookup
 from ratingloom.operators.products import first_seen, lookup_products, merged_projection
 
 # Text columns in the order their embeddings are written.
 WRITTEN_TEXTS = ("title", "comment", "prod_title", "prod_features")
+# Texts that many rows share: encoded once for each distinct one.
+REPEATED_TEXTS = ("prod_title", "prod_features")
 
 
 class TextModels:
@@ -47,11 +52,21 @@ class TextModels:
         )
 
     def apply(self, df: DataFrame, keep_text: bool = False) -> DataFrame:
-        """Add ``<column>_emb_<i>`` columns; the texts go unless kept."""
+        """Add ``<column>_emb_<i>`` columns; the texts go unless kept.
+
+        A product's text is encoded once, and its vector looked up by the text.
+        """
         for column, (encoder, compressor) in self.models.items():
             vector = f"{column}_vec"
-            short = compressor.apply(encode_text(df, encoder, column), vector)
-            df = expand_embedding(short, vector, column, compressor.dim)
+            if column in REPEATED_TEXTS:
+                texts = distinct_texts(df, column).drop("weight")
+                short = compressor.apply(encode_text(texts, encoder, column), vector)
+                short = stage(short.select(F.col(column).alias("_text"), vector), f"short-{column}")
+                df = df.withColumn(column, F.coalesce(column, F.lit("")))
+                df = unique_lookup(df, short, column, "_text").drop("_text")
+            else:
+                df = compressor.apply(encode_text(df, encoder, column), vector)
+            df = expand_embedding(df, vector, column, compressor.dim)
         return df if keep_text else df.drop(*self.models)
 
 
@@ -62,17 +77,20 @@ def fit_text_models(
     dim: int = ENCODER_DIM,
     method: str = "pca",
 ) -> TextModels:
-    """Fit on the text columns present.  A product's text is encoded once per review
-    that meets it, as the rows of the merged table count."""
+    """Fit on the text columns present, as the rows of the merged table count: a product's
+    text weighs as much as the reviews that meet it, but is encoded once."""
     models = {}
     for column in columns:
         if column not in df.columns:
             continue
-        texts = df.select(column)
-        encoder = fit_encoder(texts, column, dim=dim)
+        repeated = column in REPEATED_TEXTS
+        texts = stage(distinct_texts(df, column), f"texts-{column}") if repeated else df.select(column)
+        weight = "weight" if repeated else None
+        encoder = fit_encoder(texts, column, dim=dim, weight=weight)
         vector = f"{column}_vec"
-        vectors = stage(encode_text(texts, encoder, column).select(vector), f"vec-{column}")
-        models[column] = (encoder, fit_compressor(vectors, vector, k, method))
+        encoded = encode_text(texts, encoder, column).select(vector, *([weight] if weight else []))
+        vectors = stage(encoded, f"vec-{column}")
+        models[column] = (encoder, fit_compressor(vectors, vector, k, method, weight=weight))
     return TextModels(models)
 
 

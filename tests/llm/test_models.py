@@ -145,6 +145,14 @@ def test_detector_gradients_equal_differences():
             assert np.isclose(g[at], (up - down) / 2e-3, atol=1e-3), name
 
 
+def test_both_forward_passes_agree():
+    model = toxicity.Detector(9)
+    words = toxicity.read_words(["", "one", " ".join(f"w{i % 17}" for i in range(150)), "a b c " * 15])
+    numbers, filled, _ = toxicity.windows(words)
+    projected = model.project(words)[1]
+    assert np.allclose(model.score_windows(projected, numbers, filled), model.run(projected, numbers, filled), atol=1e-5)
+
+
 def test_toxicity_on_held_out_documents(spark, tables):
     model = toxicity.fit_toxicity(tables["documents"], tables["labels"])
     scored = toxicity.score_toxicity(tables["documents"], model)

@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 
 from ratingloom.operators.embed import (
     Compressor,
+    distinct_texts,
     encode_text,
     encode_with_model,
     expand_embedding,
@@ -13,6 +14,7 @@ from ratingloom.operators.embed import (
     fit_encoder,
     load_or_fit,
     random_directions,
+    weighted_moments,
 )
 from ratingloom.operators.features import embedding_columns, feature_columns, require_embeddings
 
@@ -47,6 +49,37 @@ def test_pca_equals_svd(vectors, matrix, tmp_path):
     np.testing.assert_allclose(applied(Compressor.load(str(tmp_path / "c")), vectors), found)
 
 
+def test_weighted_rows_stand_for_repeated_ones(spark, vectors, matrix):
+    counts = [1 + i % 4 for i in range(len(matrix))]
+    rows = [(i, m.tolist(), c) for i, (m, c) in enumerate(zip(matrix, counts))]
+    once = spark.createDataFrame(rows, "vec_id long, embedding array<double>, weight long").repartition(5)
+    model = fit_compressor(once, "embedding", k=6, weight="weight")
+    repeated = np.repeat(matrix, counts, axis=0)
+    n, mean, covariance = weighted_moments(once, "embedding", "weight")
+    assert n == len(repeated)
+    np.testing.assert_allclose(mean, repeated.mean(0), atol=1e-12)
+    np.testing.assert_allclose(covariance, np.cov(repeated.T), atol=1e-12)
+    plain = fit_compressor(spark.createDataFrame([(m.tolist(),) for m in repeated], "embedding array<double>"), "embedding", k=6)
+    np.testing.assert_allclose(applied(model, vectors), applied(plain, vectors), atol=1e-7)
+    two = once.limit(1).selectExpr("vec_id", "embedding", "2L as weight")
+    assert fit_compressor(two, "embedding", k=6, weight="weight").dim == 2
+
+
+def test_each_distinct_text_is_encoded_once(spark):
+    texts = ["red shoe", "red hat", "", None, "blue shoe shoe"]
+    rows = spark.createDataFrame([(texts[i % 5 if i % 3 else 0],) for i in range(60)], "t string")
+    distinct = distinct_texts(rows, "t")
+    assert distinct.count() == 4 and distinct.agg({"weight": "sum"}).first()[0] == 60
+    plain = fit_encoder(rows, "t", dim=64)
+    weighted = fit_encoder(distinct, "t", dim=64, weight="weight")
+    found = [
+        {r["t"]: r["t_vec"].toArray() for r in encode_text(rows, e, "t").distinct().collect()} for e in (plain, weighted)
+    ]
+    assert set(found[0]) == set(found[1])
+    for t, v in found[0].items():
+        np.testing.assert_allclose(found[1][t], v, atol=1e-12)
+
+
 def test_random_directions(vectors, matrix, tmp_path):
     model = fit_compressor(vectors, "embedding", k=8, method="random", seed=3)
     expected = (matrix - matrix.mean(0)) @ random_directions(64, 8, 3)
