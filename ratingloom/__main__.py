@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ratingloom.operators.mlp import TrainConfig
 from ratingloom.plans.cleaning import clean_file
-from ratingloom.plans.merging import TextModels, merge_with_embeddings
+from ratingloom.plans.merging import merge_with_embeddings
 from ratingloom.plans.scoring import run_scoring
 from ratingloom.plans.training import RatingModel, train_ratings
 from ratingloom.sinks.tables import write_cleaning, write_merged
@@ -39,12 +39,11 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def merge(spark: SparkSession, args: argparse.Namespace) -> None:
-    models = TextModels.load(args.models) if args.reuse else None
     reviews, products = (
         scan_clean(spark, path, pos=True) if args.csv else spark.read.parquet(path)
         for path in (args.reviews, args.products)
     )
-    merged, fitted = merge_with_embeddings(reviews, products, models)
+    merged, fitted = merge_with_embeddings(reviews, products, saved=args.models if args.reuse else None)
     if args.models and not args.reuse:
         fitted.save(args.models)
     write_merged(merged, args.out, "csv" if args.csv else "parquet")

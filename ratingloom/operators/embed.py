@@ -7,8 +7,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     IDF,
@@ -26,6 +24,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ratingloom.artefacts import load_or, publish, published
+
 ENCODER_DIM = 384
 COMPRESSED_DIM = 32
 BATCH = 256
@@ -177,6 +177,14 @@ class Compressor:
         return project(vector_to_array("_short"))
 
     def save(self, path: str) -> None:
+        publish(path, self.write)
+
+    @staticmethod
+    def load(path: str) -> Compressor:
+        return Compressor.read(published(path))
+
+    def write(self, path: str) -> None:
+        """Save as a part of something that is published whole."""
         spark = SparkSession.active()
         self.centre.write().overwrite().save(f"{path}/stages")
         spark.createDataFrame(
@@ -184,7 +192,7 @@ class Compressor:
         ).coalesce(1).write.mode("overwrite").parquet(f"{path}/shape")
 
     @staticmethod
-    def load(path: str) -> Compressor:
+    def read(path: str) -> Compressor:
         spark = SparkSession.active()
         shape = spark.read.parquet(f"{path}/shape").first()  # one row
         return Compressor(
@@ -283,13 +291,8 @@ def fit_compressor(
 def load_or_fit(
     path: str, df: DataFrame, column: str, k: int = COMPRESSED_DIM, on_missing: str = "fit"
 ) -> Compressor:
-    """Saved compressor; without a usable one, fit on ``df`` or raise."""
-    try:
-        return Compressor.load(path)
-    except (PySparkException, Py4JError):
-        if on_missing == "error":
-            raise
-        return fit_compressor(df, column, k)
+    """Saved compressor; where it is absent or broken, a warning and a fit on ``df``, or the error."""
+    return load_or(lambda: Compressor.load(path), lambda: fit_compressor(df, column, k), on_missing)
 
 
 def expand_embedding(df: DataFrame, column: str, name: str, dim: int) -> DataFrame:

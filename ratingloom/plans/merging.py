@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratingloom.artefacts import load_or, publish, published
 from ratingloom.checkpoints import stage
 from ratingloom.operators.embed import (
     COMPRESSED_DIM,
@@ -35,17 +36,21 @@ class TextModels:
         self.models = models
 
     def save(self, path: str) -> None:
+        publish(path, self._write)
+
+    def _write(self, path: str) -> None:
         for column, (encoder, compressor) in self.models.items():
             encoder.write().overwrite().save(f"{path}/{column}/encoder")
-            compressor.save(f"{path}/{column}/compressor")
+            compressor.write(f"{path}/{column}/compressor")
 
     @staticmethod
     def load(path: str, columns: Sequence[str] = WRITTEN_TEXTS) -> TextModels:
+        folder = published(path)
         return TextModels(
             {
                 c: (
-                    PipelineModel.load(f"{path}/{c}/encoder"),
-                    Compressor.load(f"{path}/{c}/compressor"),
+                    PipelineModel.load(f"{folder}/{c}/encoder"),
+                    Compressor.read(f"{folder}/{c}/compressor"),
                 )
                 for c in columns
             }
@@ -103,13 +108,19 @@ def merge_products(reviews: DataFrame, products: DataFrame, miss: str = "na") ->
 
 
 def merge_with_embeddings(
-    reviews: DataFrame, products: DataFrame, models: TextModels | None = None
+    reviews: DataFrame,
+    products: DataFrame,
+    models: TextModels | None = None,
+    saved: str | None = None,
 ) -> tuple[DataFrame, TextModels]:
     """Merged table with embedding columns, and the models behind them.
 
-    Without ``models`` they are fitted on these rows (a training run); a prediction
-    run passes those of the training run.
+    A prediction run passes the ``models`` of the training run, or where they are
+    ``saved``.  Without either, or where what was saved is absent or broken (a warning says
+    so), they are fitted on these rows.
     """
     merged = stage(merge_products(reviews, products), "merged")
+    if models is None and saved is not None:
+        models = load_or(lambda: TextModels.load(saved), lambda: fit_text_models(merged))
     models = models or fit_text_models(merged)
     return merged_projection(models.apply(merged)), models

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratingloom.artefacts import publish, published
 from ratingloom.checkpoints import stage
 from ratingloom.operators.features import (
     LABEL,
@@ -51,6 +52,9 @@ class RatingModel:
         return frame
 
     def save(self, path: str) -> None:
+        publish(path, self._write)
+
+    def _write(self, path: str) -> None:
         save_regressor(self.regressor, f"{path}/regressor")
         spark = SparkSession.active()
         texts = spark.createDataFrame([(list(self.texts),)], "texts array<string>")
@@ -60,7 +64,7 @@ class RatingModel:
 
     @staticmethod
     def load(path: str) -> RatingModel:
-        spark = SparkSession.active()
+        spark, path = SparkSession.active(), published(path)
         texts = spark.read.parquet(f"{path}/texts").first()["texts"]
         regressor = load_regressor(f"{path}/regressor")
         known = [c for c in regressor.features if c in ("prod_main_category", "prod_store")]
