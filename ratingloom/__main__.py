@@ -33,7 +33,7 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     layout = _LAYOUTS[args.kind]
     if args.schema:
         layout = read_layout(spark, args.schema, layout)
-    run = clean_file(spark, args.raw, layout)
+    run = clean_file(spark, args.raw, layout, check_header=args.check_header)
     write_cleaning(run, args.out, "csv" if args.csv else "parquet", not args.no_quarantine)
     print(run.summary.first().asDict())
 
@@ -90,6 +90,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--schema")
     sub.add_argument("--csv", action="store_true")
     sub.add_argument("--no-quarantine", action="store_true")
+    sub.add_argument("--check-header", action="store_true")
     sub = job(merge, "reviews", "products", "out")
     sub.add_argument("--models")
     sub.add_argument("--reuse", action="store_true")

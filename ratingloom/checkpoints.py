@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,3 +39,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_observed(df: DataFrame, name: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """``stage``, with aggregates that are taken while the rows are written."""
+    observation = Observation(name)
+    staged = stage(df.observe(observation, *[c.alias(k) for k, c in figures.items()]), name)
+    return staged, observation.get

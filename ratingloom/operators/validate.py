@@ -170,13 +170,18 @@ def quarantined_rows(df: DataFrame) -> DataFrame:
     return df.filter(~is_valid()).withColumn(REASONS, F.array_join(REASONS, "; "))
 
 
+def summary_figures() -> dict[str, Column]:
+    """Aggregates of a summary: ``input_rows, clean_rows, corrupted_rows``."""
+    return {
+        "input_rows": F.count("*"),
+        "clean_rows": F.count_if(is_valid()),
+        "corrupted_rows": F.count_if(~is_valid()),
+    }
+
+
 def cleaning_summary(df: DataFrame) -> DataFrame:
     """One row: ``input_rows, clean_rows, corrupted_rows``."""
-    return df.agg(
-        F.count("*").alias("input_rows"),
-        F.count_if(is_valid()).alias("clean_rows"),
-        F.count_if(~is_valid()).alias("corrupted_rows"),
-    )
+    return df.agg(*[c.alias(k) for k, c in summary_figures().items()])
 
 
 def reason_counts(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.checkpoints import stage
+from ratingloom.checkpoints import stage_observed
 from ratingloom.functions.cells import csv_cells
 from ratingloom.functions.text import default_na
 from ratingloom.operators.ids import reassign_duplicate_ids
@@ -17,22 +17,31 @@ from ratingloom.operators.repair import cells_to_columns, pad_cells, repair_revi
 from ratingloom.operators.validate import (
     clean_rows,
     cleaning_summary,
+    mark_invalid_header,
     quarantined_rows,
     reason_counts,
+    summary_figures,
     validate,
 )
 from ratingloom.sources.csv_tables import BROKEN, scan_strict
-from ratingloom.sources.raw_text import frame_records, line_records, scan_lines
+from ratingloom.sources.raw_text import (
+    frame_records,
+    header_matches,
+    line_records,
+    scan_lines,
+)
 from ratingloom.sources.schema_file import Layout
 
 
 @dataclass(frozen=True)
 class CleaningRun:
     """Frames of one cleaning run.  ``checked`` holds every input row with its list
-    of reasons; the others derive from it."""
+    of reasons; the others derive from it.  ``figures`` are the summary, if the run that
+    wrote the rows took it."""
 
     layout: Layout
     checked: DataFrame
+    figures: dict | None = None
 
     @property
     def clean(self) -> DataFrame:
@@ -50,7 +59,10 @@ class CleaningRun:
 
     @property
     def summary(self) -> DataFrame:
-        return cleaning_summary(self.checked)
+        if self.figures is None:
+            return cleaning_summary(self.checked)
+        figures = [F.lit(v).cast("bigint").alias(k) for k, v in self.figures.items()]
+        return self.checked.sparkSession.range(1).select(*figures)
 
     @property
     def reasons(self) -> DataFrame:
@@ -92,19 +104,31 @@ def read_records(
     return frame_records(lines, header) if layout.quoted_records else line_records(lines, header)
 
 
+def _run(checked: DataFrame, layout: Layout) -> CleaningRun:
+    """The checked rows, written once to the shared folder and counted on the way, because
+    id repair and both outputs read them."""
+    return CleaningRun(layout, *stage_observed(checked, "checked", **summary_figures()))
+
+
 def clean_file(
-    spark: SparkSession, path: str, layout: Layout, header: bool = True, compat: bool = False
+    spark: SparkSession,
+    path: str,
+    layout: Layout,
+    header: bool = True,
+    compat: bool = False,
+    check_header: bool = False,
 ) -> CleaningRun:
-    """Clean raw file(s).  The checked rows are written once to the shared folder,
-    because counting, id repair and both outputs read them."""
-    records = read_records(spark, path, layout, header)
-    return CleaningRun(layout, stage(check_records(records, layout, compat), "checked"))
+    """Clean raw file(s).  With ``check_header`` a file whose header does not name exactly
+    the layout's columns makes every row ``invalid header``."""
+    checked = check_records(read_records(spark, path, layout, header), layout, compat)
+    if header and check_header:
+        checked = mark_invalid_header(checked, header_matches(spark, path, layout))
+    return _run(checked, layout)
 
 
 def clean_frame(df: DataFrame, layout: Layout) -> CleaningRun:
     """Clean a frame of the layout's text columns and a distinct ``pos``."""
-    checked = check_rows(df.select(POS, *layout.fields), layout)
-    return CleaningRun(layout, stage(checked, "checked"))
+    return _run(check_rows(df.select(POS, *layout.fields), layout), layout)
 
 
 def strict_rows(spark: SparkSession, path: str, layout: Layout) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.checkpoints import stage
+from ratingloom.checkpoints import stage_observed
 from ratingloom.operators.features import require_embeddings, with_row_ids
 from ratingloom.operators.regress import score_ratings, whole_ratings
 from ratingloom.operators.reports import prediction_distribution, prediction_stats, throughput
@@ -48,11 +48,11 @@ def run_scoring(
 ) -> DataFrame:
     """Score, write both prediction tables, replace the report's scoring sections."""
     began = time.perf_counter()
-    scored = stage(score_reviews(merged, model), "scored")
+    scored, figures = stage_observed(score_reviews(merged, model), "scored", records=F.count("*"))
     seconds = time.perf_counter() - began
     write_predictions(scored, out_path, fmt)
     if report_path:
         spark = merged.sparkSession
-        figures = report_rows(throughput(spark, scored.count(), seconds), "inference")
-        write_report(prediction_report(scored).unionByName(figures), report_path)
+        rates = report_rows(throughput(spark, figures["records"], seconds), "inference")
+        write_report(prediction_report(scored).unionByName(rates), report_path)
     return scored
