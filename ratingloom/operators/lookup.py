@@ -104,12 +104,15 @@ def unique_lookup(
     limit: int = BROADCAST_BYTES,
     small: bool | None = None,
     counted: DataFrame | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Join ``left`` to a one-row-per-key ``right``; column names must not clash.
 
     Broadcasts if ``right`` measures at most ``limit`` bytes (``small`` says so when
-    it is known already), else shuffles with hot keys spread.
+    it is known already), else shuffles with hot keys spread.  ``distinct`` says that the
+    left rows' keys are distinct too, so that there is none to look for.
     """
-    if small if small is not None else fits_broadcast(right, limit):
-        return left.join(F.broadcast(right), F.col(left_key) == F.col(right_key), how)
+    small = fits_broadcast(right, limit) if small is None else small
+    if small or distinct:
+        return left.join(F.broadcast(right) if small else right, F.col(left_key) == F.col(right_key), how)
     return salted_join(left, right, left_key, right_key, how, counted)

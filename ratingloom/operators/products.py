@@ -117,7 +117,7 @@ def _looked_up_by_position(reviews: DataFrame, side: DataFrame, names: list[str]
     )
     cells = side.select("_p", *[F.col(c).alias(f"_hit_{c}") for c in names])
     brought = unique_lookup(best, cells, "_product", "_p", "inner", small=False)
-    return rows.join(brought, F.col(place) == F.col("_of"), "left")
+    return unique_lookup(rows, brought, place, "_of", small=False, distinct=True)
 
 
 def merged_columns(df: DataFrame) -> list[str]:

@@ -281,3 +281,11 @@ def test_ids_beyond_64_bits(spark):
     rows = spark.createDataFrame([(0, "9" * 20), (1, "5"), (2, "5")], "pos long, id string")
     found = [r["id"] for r in reassign_duplicate_ids(rows).orderBy("pos").collect()]
     assert found == ["9" * 20, "5", "1" + "0" * 20]
+
+
+def test_an_id_without_end_does_not_end_the_run(spark):
+    from ratingloom.operators.ids import reassign_duplicate_ids
+
+    rows = spark.createDataFrame([(0, "9" * 50), (1, "5"), (2, "5"), (3, "9" * 50)], "pos long, id string")
+    found = [r["id"] for r in reassign_duplicate_ids(rows).orderBy("pos").collect()]
+    assert found == ["9" * 50, "5", "6", "7"]
