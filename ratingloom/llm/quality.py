@@ -22,6 +22,8 @@ from ratingloom.llm.common import Adam, code_points, held_out, labelled_sample,
 # Training takes at most so many documents, of at most so many lines each.
 SAMPLE_ROWS = 4000
 SAMPLE_LINES = 400
+# Texts of more lines are walked through in blocks of their own.
+LONG_LINES = 1000
 _CHUNK_CHARS = 500_000
 
 _SYMBOLS = "#$%&*|!^~@<>{}[]\\`=+_"
@@ -145,6 +147,52 @@ def forward_backward(
     return both / both.sum(1, keepdims=True), pairs
 
 
+def along_chain(emit: np.ndarray, move: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """States of a chain, each adding up to one: ``first``, then (state before @ move) * emit.
+
+    Products of transitions are associative: blocks of lines, as many as a block is long, are
+    multiplied out side by side, their products passed on from block to block, and then all
+    blocks walked through side by side.  So n lines take some multiples of sqrt(n) steps.
+    """
+    n = len(emit)
+    size = max(1, int(np.ceil(np.sqrt(n - 1))))
+    blocks = -(-(n - 1) // size)
+    lines = np.ones((blocks * size, 2))
+    lines[: n - 1] = emit[1:]
+    lines = lines.reshape(blocks, size, 2)
+    whole = np.tile(np.eye(2), (blocks, 1, 1))
+    for s in range(size):
+        whole = (whole @ move) * lines[:, s, None, :]
+        whole /= whole.sum(axis=(1, 2), keepdims=True)
+    begin = np.empty((blocks, 2))
+    now = first / first.sum()
+    states = np.empty((1 + blocks * size, 2))
+    states[0] = now
+    for b in range(blocks):
+        begin[b] = now
+        now = now @ whole[b]
+        now = now / now.sum()
+    walked = states[1:].reshape(blocks, size, 2)
+    now = begin
+    for s in range(size):
+        now = (now @ move) * lines[:, s]
+        now = now / now.sum(axis=1, keepdims=True)
+        walked[:, s] = now
+    return states[:n]
+
+
+def long_marginals(scores: np.ndarray, step: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Marginals as ``forward_backward`` gives them, of one text of very many lines."""
+    good = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+    emit, move = np.stack((1 - good, good), axis=1), np.exp(step)
+    forward = along_chain(emit, move, np.exp(start) * emit[0])
+    backward = along_chain(emit[::-1], move.T, emit[-1])[::-1]
+    behind = np.ones_like(emit)
+    behind[:-1] = backward[1:] @ move.T
+    both = forward * behind
+    return both / both.sum(axis=1, keepdims=True)
+
+
 @dataclass
 class LineField:
     """Weights of the chain and the scaling of its features."""
@@ -156,8 +204,16 @@ class LineField:
     start: np.ndarray
 
     def marginals(self, x: np.ndarray, per_text: np.ndarray) -> np.ndarray:
-        scaled = with_neighbours((x - self.mean) / self.spread, per_text)
-        return forward_backward(scaled @ self.weights, per_text, self.step, self.start)[0][:, 1]
+        scores = with_neighbours((x - self.mean) / self.spread, per_text) @ self.weights
+        good = np.empty(len(scores))
+        long = per_text > LONG_LINES
+        within = np.repeat(long, per_text)
+        if not long.all():
+            good[~within] = forward_backward(scores[~within], per_text[~long], self.step, self.start)[0][:, 1]
+        begins = np.cumsum(per_text) - per_text
+        for a, n in zip(begins[long], per_text[long], strict=True):
+            good[a : a + n] = long_marginals(scores[a : a + n], self.step, self.start)[:, 1]
+        return good
 
     def score(self, texts: list[str]) -> np.ndarray:
         """Quality of each text: line marginals weighted by line length plus one."""

@@ -114,6 +114,35 @@ def test_forward_backward_equals_enumeration():
         at += n
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 10, 401, 5000])
+def test_long_texts_have_the_same_marginals(n):
+    r = np.random.default_rng(n)
+    scores, step, start = r.normal(0, 8, n), r.normal(0, 2, (2, 2)), r.normal(size=2)
+    plain, _ = quality.forward_backward(scores, np.array([n]), step, start)
+    assert np.allclose(quality.long_marginals(scores, step, start), plain, atol=1e-9)
+
+
+def test_whole_scores_weigh_lines_by_length(spark, tables, monkeypatch):
+    model = quality.fit_quality(tables["documents"].limit(300), tables["labels"])
+    texts = ["", "one line", "A first line.\n\nzz ## 99\nThe last, longer line of the text.", "x\n" * 3000, "Good words here.\n" * 1500 + "junk @@@@ 1234\n" * 900]
+    expected = []
+    for text in texts:
+        x, lengths, per_text = quality.line_features([text])
+        scaled = quality.with_neighbours((x - model.mean) / model.spread, per_text)
+        good = quality.forward_backward(scaled @ model.weights, per_text, model.step, model.start)[0][:, 1]
+        expected.append(sum(g * (n + 1) for g, n in zip(good, lengths, strict=True)) / sum(n + 1 for n in lengths))
+    assert np.allclose(model.score(texts), np.clip(expected, 0, 1), atol=1e-9)
+    monkeypatch.setattr(quality, "LONG_LINES", 1)
+    assert np.allclose(model.score(texts), np.clip(expected, 0, 1), atol=1e-9)
+
+
+def test_very_many_lines_take_seconds():
+    scores = np.random.default_rng(1).normal(size=2_000_000)
+    began = time.process_time()
+    quality.long_marginals(scores, np.array([[0.5, -0.5], [-0.5, 0.5]]), np.zeros(2))
+    assert time.process_time() - began < 20
+
+
 def test_detector_gradients_equal_differences():
     texts = ["one two three", "you are a moron", "", "a b c d e f g " * 9]
     model, words = toxicity.Detector(3), toxicity.read_words(texts)
