@@ -70,13 +70,13 @@ def words_of(text: str) -> list[bytes]:
 class SuffixAutomaton:
     """Smallest automaton of all factors of several word sequences.
 
-    A state knows, for each sequence it occurs in, the end of its first place there.
+    A state knows, for each sequence it occurs in, the ends of all its places there.
     """
 
     def __init__(self) -> None:
         self.next: list[dict[bytes, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]
+        self.ends: list[dict[int, list[int]]] = [{}]
 
     def _state(self, length: int, follows: dict[bytes, int], link: int) -> int:
         self.next.append(follows)
@@ -90,7 +90,7 @@ class SuffixAutomaton:
         if self.length[child] == self.length[parent] + 1:
             return child
         twin = self._state(self.length[parent] + 1, dict(self.next[child]), self.link[child])
-        self.ends[twin] = dict(self.ends[child])
+        self.ends[twin] = {n: list(places) for n, places in self.ends[child].items()}
         self.link[child] = twin
         while parent >= 0 and self.next[parent].get(word) == child:
             self.next[parent][word] = twin
@@ -111,8 +111,8 @@ class SuffixAutomaton:
                 if parent >= 0:
                     self.link[state] = self._split(parent, word, self.next[parent][word])
             up = state
-            while up > 0 and number not in self.ends[up]:
-                self.ends[up][number] = place + 1
+            while up > 0:
+                self.ends[up].setdefault(number, []).append(place + 1)
                 up = self.link[up]
             last = state
 
@@ -171,8 +171,8 @@ class LicenceScanner:
 
     def spans(self, words: list[bytes]) -> list[tuple[int, int, str, float]]:
         """Start, end, label and covered share of every licence span, in order."""
-        known, chains = self.vocabulary, {}
-        run, done = 0, []
+        known, found = self.vocabulary, {}
+        run = 0
         flags = [w in known for w in words]
         flags.append(False)
         for i, on in enumerate(flags):
@@ -182,29 +182,43 @@ class LicenceScanner:
             if run >= self.least:
                 base = i - run
                 for end, size, state in self.automaton.matches(words[base:i], self.least):
-                    self._chain(chains, done, base + end - size, base + end, state)
+                    for t, stops in self.automaton.ends[state].items():
+                        places = found.setdefault(t, [])
+                        places += [(base + end - size, base + end, stop - size, stop) for stop in stops]
             run = 0
-        done += [(t, *chain) for t, chain in chains.items()]
-        out = [
-            (start, end, self.labels[t], covered / self.sizes[t])
-            for t, start, end, _, covered in done
-            if covered >= self.coverage * self.sizes[t]
-        ]
+        out = []
+        for t, places in found.items():
+            need = self.coverage * self.sizes[t]
+            # of a template's chains the longest come first; they do not overlap
+            taken: list[tuple[int, int]] = []
+            for covered, first, end in sorted(self.chains(places), key=lambda c: (-c[0], c[2], c[1])):
+                if covered < need:
+                    break
+                if all(end <= a or first >= b for a, b in taken):
+                    taken.append((first, end))
+                    out.append((first, end, self.labels[t], covered / self.sizes[t]))
         return sorted(out)
 
-    def _chain(self, chains: dict, done: list, start: int, end: int, state: int) -> None:
-        """Append a match to each template's chain, or begin a new one."""
-        for t, stop in self.automaton.ends[state].items():
-            begin = stop - (end - start)
-            chain = chains.get(t)
-            if chain is not None:
-                first, last, reached, covered = chain
-                cut = max(0, reached - begin, last - start)
-                if start - last <= self.gap and cut < end - start and stop > reached:
-                    chains[t] = (first, end, stop, covered + (end - start) - cut)
-                    continue
-                done.append((t, *chain))
-            chains[t] = (start, end, stop, end - start)
+    def chains(self, places: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
+        """(covered words, start, end) of the best chain that ends in each match of a template.
+
+        ``places`` are matches by their end: start and end in the text, begin and stop in the
+        template.  A chain rises in both, with at most ``gap`` words of the text between
+        matches; what overlaps counts once.  Any number of stray matches may lie between.
+        """
+        best: list[tuple[int, int, int]] = []
+        for k, (start, end, begin, stop) in enumerate(places):
+            covered, first = end - start, start
+            for j in range(k - 1, -1, -1):
+                a, b, c, d = places[j]
+                if start - b > self.gap:
+                    break
+                if a < start and b < end and c < begin and d < stop:
+                    joined = best[j][0] + end - start - max(0, d - begin, b - start)
+                    if joined > covered:
+                        covered, first = joined, best[j][1]
+            best.append((covered, first, end))
+        return best
 
 
 SPAN = "array<struct<start:bigint,end:bigint,label:string,covered:double>>"

@@ -357,3 +357,50 @@ def test_fullest_equals_all_choices():
         chosen = packing.fullest(counts, room)
         assert sum(k * v for k, v in chosen.items()) == max(s for s in sums if s <= room)
         assert all(v <= counts[k] for k, v in chosen.items())
+
+
+DISCLAIMER = (
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
+    "on an as is basis without warranties or conditions of any kind either express or implied"
+)
+
+
+@pytest.mark.parametrize("stray", ["under the license", "of any", "the license", "software software of any kind"])
+def test_stray_matches_do_not_cut_a_licence(stray):
+    scanner = licences.LicenceScanner({"apache": [DISCLAIMER]})
+    words = DISCLAIMER.split()
+    for at in range(2, len(words) - 2, 3):
+        text = " ".join([*words[:at], stray, *words[at:]])
+        found = scanner.spans(licences.words_of(f"before it {text} behind it"))
+        assert [(a, b) for a, b, _, _ in found] == [(2, 2 + len(text.split()))], text
+        assert found[0][3] > 0.9
+
+
+def test_best_chains_equal_all_chains():
+    r = random.Random(12)
+    scanner = licences.LicenceScanner({"x": ["a"]}, gap=3)
+    for _ in range(200):
+        places = []
+        for _ in range(r.randrange(1, 9)):
+            size, end, stop = r.randrange(1, 5), r.randrange(5, 20), r.randrange(5, 14)
+            places.append((end - size, end, stop - size, stop))
+        places.sort(key=lambda p: p[1])
+
+        def best(k, places=places):
+            a, b, c, d = places[k]
+            covered = [b - a]
+            for j in range(k):
+                e, f, g, h = places[j]
+                if a - f <= 3 and e < a and f < b and g < c and h < d:
+                    covered.append(best(j) + b - a - max(0, h - c, f - a))
+            return max(covered)
+
+        assert [c for c, _, _ in scanner.chains(places)] == [best(k) for k in range(len(places))]
+
+
+def test_every_place_of_a_repeated_phrase_counts():
+    template = "the software is given as it is and the software may be used by all who like the software"
+    scanner = licences.LicenceScanner({"x": [template]}, coverage=0.9)
+    assert [s[3] for s in scanner.spans(licences.words_of(template))] == [1.0]
+    ends = scanner.automaton.ends
+    assert max(len(v) for d in ends for v in d.values()) == 3
