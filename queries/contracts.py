@@ -20,7 +20,9 @@ from ratingloom.sources.csv_tables import scan_clean
 from ratingloom.sources.schema_file import PRODUCT, TRAIN, read_fields
 from ratingloom.streaming.cleaning import check_record_stream, write_checked_stream
 
-_JOINED = F.array_join(REASONS, "; ").alias(REASONS)
+
+def _joined():
+    return F.array_join(REASONS, "; ").alias(REASONS)
 
 
 @query(
@@ -48,7 +50,7 @@ from ({SQL["dirty"]}) d""",
 )
 def arity_reasons(spark, sf_dir):
     rows = view(spark, sf_dir, "dirty").withColumn("n", F.expr(_ARITY))
-    return validate(rows, TRAIN, n_cells="n").select("id", _JOINED)
+    return validate(rows, TRAIN, n_cells="n").select("id", _joined())
 
 
 @query(
@@ -60,7 +62,7 @@ def extra_columns(spark, sf_dir):
     """Rows read by header name with a column without one: it spoils where it holds a value."""
     nameless = F.when(F.col("l_linenumber") % 3 == 0, "more").otherwise(" ").alias("_c10")
     rows = view(spark, sf_dir, "dirty").select(*TRAIN.fields, nameless)
-    return validate(rows, TRAIN, by_name=True).select("id", _JOINED)
+    return validate(rows, TRAIN, by_name=True).select("id", _joined())
 
 
 _HEADED = f"({_checked_sql(PRODUCT, SQL['products'])}) k"
