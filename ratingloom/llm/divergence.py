@@ -32,6 +32,7 @@ from pyspark.sql.window import Window
 
 from ratingloom.checkpoints import stage
 from ratingloom.operators.lookup import bounded_broadcast, fits_broadcast
+from ratingloom.operators.position import row_position
 
 # A term is kept where at least so many documents of its language hold it.
 LEAST_DOCUMENTS = 10
@@ -43,13 +44,14 @@ TOP_TERMS = 10
 BLOCK_TERMS, BLOCK_SOURCES = 4096, 128
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
-_HEAD = 16
+_HEAD, _WHOLE = 16, 8
 _FLUSH = 200_000
-_WORDS = "lang string, source string, terms array<struct<t: binary, n: int, d: int>>"
+_WORDS = "lang string, source string, terms array<struct<t: binary, p: bigint, n: int, d: int>>"
 
 
-def shared_bytes(terms: pa.BinaryArray, opens: np.ndarray) -> np.ndarray:
-    """Bytes that each term shares with the one before; 0 where ``opens`` says a document begins."""
+def term_heads(terms: pa.BinaryArray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the first eight bytes of each term as one number, the first byte in front, and the
+    bytes that it shares with the term before: 0 where ``opens`` says a document begins)."""
     offsets, data = (np.frombuffer(b, t) for b, t in zip(terms.buffers()[1:], (np.int32, np.uint8), strict=True))
     data = np.append(data, np.zeros(_HEAD, np.uint8))  # terms hold no zero bytes
     first, size = offsets[: len(terms)], np.diff(offsets[: len(terms) + 1])
@@ -61,12 +63,13 @@ def shared_bytes(terms: pa.BinaryArray, opens: np.ndarray) -> np.ndarray:
     shared[opens] = 0
     for i in np.flatnonzero(shared == _HEAD):
         shared[i] = len(os.path.commonprefix((terms[i - 1].as_py(), terms[i].as_py())))
-    return shared
+    front = np.where(np.arange(_WHOLE) < size[:, None], heads[:, :_WHOLE], 0).astype(np.uint8)
+    return front.view(">i8").reshape(-1).astype(np.int64), shared
 
 
 def document_terms(docs: DataFrame) -> DataFrame:
-    """lang, source and, sorted, the distinct terms of each row: ``t``, its occurrences ``n``
-    and ``d``, the bytes it shares with the term before.
+    """lang, source and, sorted, the distinct terms of each row: ``t``, its first eight bytes
+    as a number ``p``, its occurrences ``n`` and ``d``, the bytes it shares with the term before.
 
     Terms are runs of letters A-Z (lower-cased), a-z and all code points beyond ASCII.
     """
@@ -75,10 +78,10 @@ def document_terms(docs: DataFrame) -> DataFrame:
         ends = np.cumsum(sizes, dtype=np.int32)
         begins = ends - sizes
         terms = pa.array(terms, pa.binary())
-        shared = shared_bytes(terms, begins[sizes > 0]) if len(terms) else np.zeros(0, np.int32)
-        parts = (terms, pa.array(counts, pa.int32()), pa.array(shared, pa.int32()))
+        heads, shared = term_heads(terms, begins[sizes > 0]) if len(terms) else (np.zeros(0, np.int64), np.zeros(0, np.int32))
+        parts = (terms, pa.array(heads), pa.array(counts, pa.int32()), pa.array(shared, pa.int32()))
         lists = pa.ListArray.from_arrays(
-            pa.array(np.append(0, ends), pa.int32()), pa.StructArray.from_arrays(parts, ["t", "n", "d"])
+            pa.array(np.append(0, ends), pa.int32()), pa.StructArray.from_arrays(parts, ["t", "p", "n", "d"])
         )
         return pa.RecordBatch.from_arrays(
             [pa.array(langs, pa.string()), pa.array(sources, pa.string()), lists], ["lang", "source", "terms"]
@@ -104,6 +107,13 @@ def document_terms(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(made, _WORDS)
 
 
+def _prefix(at: int) -> Column:
+    """The first ``at`` bytes of a term: a number, zeros behind a shorter term, or the bytes."""
+    if at > _WHOLE:
+        return F.substring("t", 1, at)
+    return F.col("p").bitwiseAND(F.lit(-1 << 8 * (_WHOLE - at)))
+
+
 def refine_prefixes(words: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     """lang, t of every term that at least ``least`` documents of its language hold.
 
@@ -111,24 +121,28 @@ def refine_prefixes(words: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame
     level prune the next one's rows where they measure small enough to broadcast; beyond
     that the level counts unpruned, and its threshold leaves the same.
     """
-    rows = words.select("lang", F.inline("terms")).select("lang", "t", "d")
+    rows = words.select("lang", F.inline("terms")).drop("n")
     size, at, before = F.octet_length("t"), FIRST_BYTES, None
     levels = []
     while True:
         longer = rows if before is None else rows.filter(size > at // 2)
         if before is not None and fits_broadcast(before):
-            same = (F.col("lang") == F.col("_l")) & (F.substring("t", 1, at // 2) == F.col("_p"))
+            same = (F.col("lang") == F.col("_l")) & (_prefix(at // 2) == F.col("_p"))
             longer = longer.join(F.broadcast(before), same, "left_semi")
         counted = (
-            longer.groupBy("lang", F.substring("t", 1, at).alias("t"))
-            .agg(F.count_if((size >= at) & (F.col("d") < at)).alias("_docs"), F.count_if(size <= at).alias("_own"))
+            longer.groupBy("lang", _prefix(at).alias("_key"))
+            .agg(
+                F.count_if((size >= at) & (F.col("d") < at)).alias("_docs"),
+                F.count_if(size <= at).alias("_own"),
+                F.max(F.when(size <= at, size)).alias("_size"),
+            )
             .filter((F.col("_docs") >= least) | (F.col("_own") >= least))
         )
         level = stage(counted, "prefixes")
-        levels.append(level.filter(F.col("_own") >= least).select("lang", "t"))
+        whole = F.substring(F.unhex(F.hex("_key")), 1, F.col("_size")) if at <= _WHOLE else F.col("_key")
+        levels.append(level.filter(F.col("_own") >= least).select("lang", whole.alias("t")))
         # a prefix goes on while documents enough hold what begins with it
-        before = level.filter((size == at) & (F.col("_docs") >= least))
-        before = before.select(F.col("lang").alias("_l"), F.col("t").alias("_p"))
+        before = level.filter(F.col("_docs") >= least).select(F.col("lang").alias("_l"), F.col("_key").alias("_p"))
         if before.isEmpty():
             return reduce(DataFrame.unionByName, levels)
         at *= 2
@@ -183,57 +197,58 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_
     value 0 if the language keeps no term.  An empty table gives no rows; columns beside
     lang, source and text are not looked at.
     """
-    words = stage(document_terms(docs), "terms")
-    kept = stage(refine_prefixes(words, least), "kept-terms")
-    groups = stage(words.select("lang", "source").distinct(), "groups")
-
-    sizes = kept.groupBy("lang").agg(F.count("*").alias("_v"))
+    read = stage(document_terms(docs), "terms")
+    # numbers stand for languages, groups and terms wherever occurrences are counted
+    names = stage(read.select(F.col("lang").alias("_name")).distinct().withColumn("_l", F.monotonically_increasing_id()), "names")
+    words = read.join(bounded_broadcast(names), F.col("lang") == F.col("_name")).select(F.col("_l").alias("lang"), "source", "terms")
+    kept = refine_prefixes(words, least)
+    groups = words.select("lang", "source").distinct().withColumn("_g", F.monotonically_increasing_id())
+    groups = stage(groups, "groups")
+    terms = stage(row_position(kept, ["lang", "t"], "_no"), "numbered-terms")  # in the order of their bytes
+
+    sizes = terms.groupBy("lang").agg(F.count("*").alias("_v"))
     sources = groups.groupBy("lang").agg(F.count("*").alias("_sources"))
     langs = stage(sources.join(sizes, "lang", "left").na.fill(0, ["_v"]), "languages")
-    buckets = F.greatest(F.ceil(F.col("_v") / BLOCK_TERMS), F.lit(1)).cast("int")
-    dealt = kept.join(bounded_broadcast(langs), "lang").select(
-        "lang", "t", F.pmod(F.xxhash64("t"), buckets).cast("int").alias("_bucket")
-    )
-    place = F.row_number().over(Window.partitionBy("lang", "_bucket").orderBy("t")) - 1
-    terms = stage(dealt.withColumn("_place", place), "numbered-terms")
 
-    rows = words.select("lang", "source", F.inline("terms")).select("lang", "source", "t", "n")
-    key = ["lang", "source", "_bucket", "_place", "t"]
+    rows = words.join(bounded_broadcast(groups), ["lang", "source"]).select("lang", "_g", F.inline("terms")).drop("d", "p")
     if fits_broadcast(terms):
-        counts = rows.join(F.broadcast(terms), ["lang", "t"]).groupBy(*key).agg(F.sum("n").alias("n"))
+        counts = rows.join(F.broadcast(terms), ["lang", "t"]).groupBy("_g", "_no").agg(F.sum("n").alias("n"))
+        counts = counts.join(bounded_broadcast(groups), "_g")
     else:  # what is shuffled has been added up, and hashes leave out most of the rare terms
         hashes = terms.select(F.xxhash64("lang", "t").alias("_h"))
         if fits_broadcast(hashes):
             rows = rows.join(F.broadcast(hashes.distinct()), F.xxhash64("lang", "t") == F.col("_h"), "left_semi")
-        counts = rows.groupBy("lang", "source", "t").agg(F.sum("n").alias("n")).join(terms, ["lang", "t"])
-    counts = stage(counts.select(*key, "n"), "term-counts")
+        counts = rows.groupBy("_g", "t").agg(F.sum("n").alias("n"))
+        counts = counts.join(bounded_broadcast(groups), "_g").join(terms, ["lang", "t"])
+    counts = stage(counts.select("lang", "source", "_no", "n"), "term-counts")
 
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("_total"))
-    groups = groups.join(totals, ["lang", "source"], "left").join(bounded_broadcast(langs), "lang")
+    groups = groups.drop("_g").join(totals, ["lang", "source"], "left").join(bounded_broadcast(langs), "lang")
     groups = groups.na.fill(0, ["_total"]).withColumn("_zero", F.lit(0).cast("bigint"))
     groups = stage(groups.withColumn("_p0", _share("_zero", "_total", "_v")).drop("_zero"), "group-totals")
-    both = counts.groupBy("lang", "_bucket", "_place").agg(F.sum("n").alias("_both"))
+    both = counts.groupBy("lang", "_no").agg(F.sum("n").alias("_both"))
     all_of = counts.groupBy("lang").agg(F.sum("n").alias("_all")).join(langs, "lang")
-    both = both.join(bounded_broadcast(all_of), "lang")
-    both = both.select("lang", "_bucket", "_place", _share("_both", "_all", "_v").alias("_q"))
+    both = both.join(bounded_broadcast(all_of), "lang").select("lang", "_no", _share("_both", "_all", "_v").alias("_q"))
+    both = stage(both, "shares")
     shares = counts.join(bounded_broadcast(groups.select("lang", "source", "_total", "_v")), ["lang", "source"])
     shares = shares.withColumn("_p", _share("n", "_total", "_v"))
 
-    over = shares.join(bounded_broadcast(both), ["lang", "_bucket", "_place"]).filter("_p > _q")
-    over = over.select("lang", "source", F.col("t").cast("string").alias("item"), _apart("_p", "_q").alias("value"))
-    first = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    best = over.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= top)
+    over = shares.join(bounded_broadcast(both), ["lang", "_no"]).filter("_p > _q")
+    over = over.select("lang", "source", "_no", _apart("_p", "_q").alias("value"))
+    highest = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "_no")
+    best = over.withColumn("rank", F.row_number().over(highest)).filter(F.col("rank") <= top)
+    best = stage(best, "best-terms").join(terms.select("_no", F.col("t").cast("string").alias("item")), "_no").drop("_no")
 
-    cells = shares.groupBy("lang", "_bucket", "source").agg(
-        F.collect_list(F.struct(F.col("_place").alias("place"), F.col("_p").alias("p"))).alias("_cells")
+    bucket, place = F.floor(F.col("_no") / BLOCK_TERMS), F.col("_no") % BLOCK_TERMS
+    cells = shares.groupBy("lang", bucket.alias("_bucket"), "source").agg(
+        F.collect_list(F.struct(place.alias("place"), F.col("_p").alias("p"))).alias("_cells")
     )  # as many as a block has terms
-    filled = terms.groupBy("lang", "_bucket").agg(F.count("*").alias("_kept"))
+    filled = stage(terms.groupBy("lang", bucket.alias("_bucket")).agg(F.count("*").alias("_kept")), "buckets")
     blocks = F.ceil(F.col("_sources") / BLOCK_SOURCES).cast("int")
     laid = (
-        groups.withColumn("_bucket", F.explode(F.sequence(F.lit(0), buckets - 1)))
+        groups.join(bounded_broadcast(filled), "lang", "left")
+        .na.fill(0, ["_bucket", "_kept"])
         .join(cells, ["lang", "_bucket", "source"], "left")
-        .join(bounded_broadcast(filled), ["lang", "_bucket"], "left")
-        .na.fill(0, ["_kept"])
         .withColumn("_side", F.pmod(F.xxhash64("source"), blocks).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("_i", F.least("_side", "_other"))
@@ -241,10 +256,12 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_
         .select("lang", "source", "_bucket", "_side", "_i", "_j", "_p0", "_kept", "_cells")
     )
     parts = laid.groupBy("lang", "_bucket", "_i", "_j").applyInPandas(
-        _block_pairs, "lang string, _a string, _b string, _value bigint"
+        _block_pairs, "lang bigint, _a string, _b string, _value bigint"
     )
     pairs = stage(parts.groupBy("lang", "_a", "_b").agg(F.sum("_value").alias("value")), "source-pairs")
     ways = [pairs.select("lang", F.col(a).alias("source"), F.col(b).alias("item"), "value") for a, b in (("_a", "_b"), ("_b", "_a"))]
+    first = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     ranked = ways[0].unionByName(ways[1]).withColumn("rank", F.row_number().over(first))
     parts = [frame.withColumn("part", F.lit(name)) for frame, name in ((ranked, "pair"), (best, "term"))]
-    return parts[0].unionByName(parts[1]).select("lang", "source", "part", "item", "value", "rank")
+    found = parts[0].unionByName(parts[1]).join(bounded_broadcast(names), F.col("lang") == F.col("_l"))
+    return found.select(F.col("_name").alias("lang"), "source", "part", "item", "value", "rank")

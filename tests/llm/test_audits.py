@@ -103,7 +103,9 @@ def test_shares_of_huge_counts_are_exact(spark):
 
 def test_terms_know_what_they_share():
     terms = [b"a", b"ab", b"abc", b"b", b"a" * 40, b"a" * 40 + b"b", b"abc"]
-    assert divergence.shared_bytes(pa.array(terms, pa.binary()), np.array([0, 6])).tolist() == [0, 1, 2, 0, 0, 40, 0]
+    heads, shared = divergence.term_heads(pa.array(terms, pa.binary()), np.array([0, 6]))
+    assert shared.tolist() == [0, 1, 2, 0, 0, 40, 0]
+    assert heads.tolist() == [int.from_bytes(x[:8].ljust(8, b"\0"), "big", signed=True) for x in terms]
 
 
 # --- chat -------------------------------------------------------------------------------------
