@@ -295,9 +295,18 @@ def load_or_fit(
     return load_or(lambda: Compressor.load(path), lambda: fit_compressor(df, column, k), on_missing)
 
 
+def _six_decimals(x: Column) -> Column:
+    """``bround(x, 6)``, which works on decimal text, wherever a number in doubles can tell:
+    clear of a tie the nearest whole number of millionths is the same, and so is its quotient."""
+    millionths = x * F.lit(1e6)
+    whole = F.rint(millionths)
+    clear = (F.abs(millionths) < 1e9) & (F.abs(millionths - whole) < 0.499)
+    return F.when(clear, whole / F.lit(1e6) + F.lit(0.0)).otherwise(F.bround(x, 6))
+
+
 def expand_embedding(df: DataFrame, column: str, name: str, dim: int) -> DataFrame:
     """Array column -> scalars ``<name>_emb_<i>``, rounded to six decimals."""
-    parts = [
-        F.bround(F.col(column)[i].cast("double"), 6).alias(f"{name}_emb_{i}") for i in range(dim)
-    ]
-    return df.select(*[c for c in df.columns if c != column], *parts)
+    short = F.transform(F.col(column).cast("array<double>"), _six_decimals)
+    parts = [F.col(column)[i].alias(f"{name}_emb_{i}") for i in range(dim)]
+    rounded = df.withColumn(column, short)
+    return rounded.select(*[c for c in df.columns if c != column], *parts)

@@ -20,13 +20,29 @@ from ratingloom.operators.embed import (
     fit_compressor,
     fit_encoder,
 )
-from ratingloom.operators.lookup import unique_lookup
+from ratingloom.operators.lookup import BROADCAST_BYTES, unique_lookup
 from ratingloom.operators.products import first_seen, lookup_products, merged_projection
 
 # Text columns in the order their embeddings are written.
 WRITTEN_TEXTS = ("title", "comment", "prod_title", "prod_features")
 # Texts that many rows share: encoded once for each distinct one.
 REPEATED_TEXTS = ("prod_title", "prod_features")
+# Bytes of a text, generously, and of one number of its vector where vectors are broadcast.
+_TEXT_BYTES, _NUMBER_BYTES = 256, 16
+
+
+def repeated_texts(df: DataFrame, columns: Sequence[str], dim: int = COMPRESSED_DIM) -> set[str]:
+    """Columns whose rows look up the vector of their text: those of products, and others
+    that hold so few distinct texts that the vectors of all are small enough to broadcast.
+
+    One pass counts them approximately; on the count depends only which way is taken."""
+    others = [c for c in columns if c not in REPEATED_TEXTS]
+    repeated = set(columns) - set(others)
+    if others:
+        found = df.agg(*[F.approx_count_distinct(c).alias(c) for c in others]).first()
+        limit = BROADCAST_BYTES // (_TEXT_BYTES + _NUMBER_BYTES * dim)
+        repeated |= {c for c in others if found[c] <= limit // 2}
+    return repeated
 
 
 class TextModels:
@@ -59,19 +75,22 @@ class TextModels:
     def apply(self, df: DataFrame, keep_text: bool = False) -> DataFrame:
         """Add ``<column>_emb_<i>`` columns; the texts go unless kept.
 
-        A product's text is encoded once, and its vector looked up by the text.
+        A text that many rows share is encoded and rounded once, and its numbers looked up.
         """
+        dim = max((c.dim for _, c in self.models.values()), default=0)
+        repeated = repeated_texts(df, list(self.models), dim)
         for column, (encoder, compressor) in self.models.items():
             vector = f"{column}_vec"
-            if column in REPEATED_TEXTS:
+            if column in repeated:
                 texts = distinct_texts(df, column).drop("weight")
                 short = compressor.apply(encode_text(texts, encoder, column), vector)
-                short = stage(short.select(F.col(column).alias("_text"), vector), f"short-{column}")
+                short = short.select(F.col(column).alias("_text"), vector)
+                short = stage(expand_embedding(short, vector, column, compressor.dim), f"short-{column}")
                 df = df.withColumn(column, F.coalesce(column, F.lit("")))
                 df = unique_lookup(df, short, column, "_text").drop("_text")
             else:
                 df = compressor.apply(encode_text(df, encoder, column), vector)
-            df = expand_embedding(df, vector, column, compressor.dim)
+                df = expand_embedding(df, vector, column, compressor.dim)
         return df if keep_text else df.drop(*self.models)
 
 
@@ -82,13 +101,13 @@ def fit_text_models(
     dim: int = ENCODER_DIM,
     method: str = "pca",
 ) -> TextModels:
-    """Fit on the text columns present, as the rows of the merged table count: a product's
-    text weighs as much as the reviews that meet it, but is encoded once."""
+    """Fit on the text columns present, as the rows of the merged table count: a text that
+    many rows share weighs as much as they do, but is encoded once."""
     models = {}
+    columns = [c for c in columns if c in df.columns]
+    shared = repeated_texts(df, columns)
     for column in columns:
-        if column not in df.columns:
-            continue
-        repeated = column in REPEATED_TEXTS
+        repeated = column in shared
         texts = stage(distinct_texts(df, column), f"texts-{column}") if repeated else df.select(column)
         weight = "weight" if repeated else None
         encoder = fit_encoder(texts, column, dim=dim, weight=weight)

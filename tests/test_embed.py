@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
 from ratingloom.operators.embed import (
     Compressor,
@@ -17,6 +18,7 @@ from ratingloom.operators.embed import (
     weighted_moments,
 )
 from ratingloom.operators.features import embedding_columns, feature_columns, require_embeddings
+from ratingloom.plans import merging
 
 
 @pytest.fixture(scope="module")
@@ -132,3 +134,30 @@ def test_expansion_and_column_order(spark):
     assert feature_columns(names)[:4] == ["votes", "purchased", "time", "prod_price"]
     with pytest.raises(ValueError, match="prod_title"):
         require_embeddings(names)
+
+
+def test_rounding_is_that_of_decimal_text(spark):
+    """Ties, halves that doubles miss, signs of zero and what has no millionths."""
+    values = [0.0000005, 0.0000015, -0.0000005, 1.0000005, 0.1234565, 2.5e-7, -1e-9, 123456.7890125, 4e12, 1e300]
+    values += [float("nan"), float("inf"), -float("inf"), None, *np.random.RandomState(3).randn(2000).tolist()]
+    rows = spark.createDataFrame([([v], v) for v in values], "v array<double>, x double")
+    done = expand_embedding(rows, "v", "t", 1).withColumn("want", F.bround("x", 6))
+    bits = [F.hex(F.col(c).cast("string").cast("binary")) for c in ("t_emb_0", "want")]
+    assert done.filter(~bits[0].eqNullSafe(bits[1])).count() == 0
+
+
+def test_shared_review_texts_are_encoded_once(spark, monkeypatch):
+    """Texts of reviews that repeat are looked up as those of products are; others are not."""
+    few = spark.range(400).select(F.concat(F.lit("word "), (F.col("id") % 3).cast("string")).alias("title"))
+    assert merging.repeated_texts(few, ["title", "prod_title"]) == {"title", "prod_title"}
+    many = spark.range(400_000).select(F.col("id").cast("string").alias("title"))
+    assert merging.repeated_texts(many, ["title"]) == set()
+    encoded = []
+    encode = merging.encode_text
+    monkeypatch.setattr(merging, "encode_text", lambda df, *rest: encoded.append(df.count()) or encode(df, *rest))
+    models = merging.fit_text_models(few, ["title"], k=2, dim=16)
+    shared = models.apply(few, keep_text=True)
+    assert encoded == [3, 3]
+    monkeypatch.setattr(merging, "repeated_texts", lambda *_: set())
+    alone = models.apply(few, keep_text=True).select(shared.columns)
+    assert shared.exceptAll(alone).count() == alone.exceptAll(shared).count() == 0
