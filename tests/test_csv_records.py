@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from ratingloom.plans.cleaning import strict_rows
 from ratingloom.sources import csv_records
 from ratingloom.sources.csv_records import read_csv_records, states_before
 from ratingloom.sources.csv_tables import BROKEN, scan_clean, scan_merged, scan_strict
@@ -124,3 +125,15 @@ def test_empty_and_missing_files(spark, tmp_path):
     assert read_csv_records(spark, str(tmp_path))[0].count() == 0
     with pytest.raises(FileNotFoundError):
         scan_clean(spark, str(tmp_path / "none"))
+
+
+def test_filters_on_cells_do_not_parse_again(spark, tmp_path):
+    """A record is parsed once, whatever the tests on its cells."""
+    path = str(tmp_path / "strict")
+    row = ["1", "u_0123456789abcdef", "a_0123456789abcdef", "a_0123456789abcdef", "t", "c", "1", "2", "TRUE", "5"]
+    (tmp_path / "strict").mkdir()
+    (tmp_path / "strict" / "a.csv").write_text("\n".join([",".join(TRAIN.fields), ",".join(row), "1,2"]) + "\n")
+    rows = strict_rows(spark, path, TRAIN)
+    assert [list(r) for r in rows.collect()] == [row]
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
