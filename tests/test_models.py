@@ -1,10 +1,13 @@
 """Regressors, training and scoring runs."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from queries import models as query_models
 from queries.joining import products, reviews
+from ratingloom.operators import mlp
 from ratingloom.operators.mlp import Shape, TrainConfig, backward, forward, pack
 from ratingloom.operators.regress import (
     epoch_table,
@@ -161,3 +164,30 @@ def test_training_refuses_bad_ratings(spark):
         train_ratings(df)
     with pytest.raises(ValueError, match="no 'rating' column"):
         train_ratings(df.drop("rating"), texts=())
+
+
+def test_rows_reach_the_network_as_arrow_matrices():
+    """Also slices of batches, and no row as an object of its own."""
+    x = pa.array([[float(i), float(-i)] for i in range(10)], pa.list_(pa.float32()))
+    whole = mlp._matrix(x)
+    assert whole.dtype == np.float32 and whole.shape == (10, 2)
+    np.testing.assert_array_equal(mlp._matrix(x.slice(3, 4)), whole[3:7])
+    batch = pa.RecordBatch.from_arrays([x, pa.array(np.arange(10, dtype=np.float32))], ["x", "y"])
+    parts = [batch.slice(0, 0), batch.slice(0, 6), batch.slice(6)]
+    found = [(a[:n], b[:n]) for a, b, n in mlp._mixed_windows(iter(parts), np.random.default_rng(0), 4)]
+    assert sorted(float(v) for _, b in found for v in b) == list(range(10))
+    assert all((a[:, 0] == b).all() and (a[:, 1] == -b).all() for a, b in found)
+
+
+def test_scoring_reads_the_features_that_training_wrote(spark, monkeypatch):
+    """The merged reviews are looked up once, not once more for the scores."""
+    made = []
+    rows = spark.range(300).select(
+        "id", *[(F.col("id") % (i + 2)).cast("double").alias(c) for i, c in enumerate(query_models._SCALARS)],
+        (1 + F.col("id") % 5).cast("double").alias("label"),
+    )
+    monkeypatch.setattr(query_models, "scalar_features", lambda *_: made.append(1) or rows)
+    fit = query_models.fit_regressor
+    short = mlp.TrainConfig(epochs=1)
+    monkeypatch.setattr(query_models, "fit_regressor", lambda *a, **k: fit(*a, **k, config=short))
+    assert query_models.score_saved(spark, "none").count() == 300 and made == [1]
