@@ -1,9 +1,13 @@
 """Validation by header name, schema files, sinks and streams."""
 
+import re
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 from queries.views import view
+from ratingloom.functions.text import BLANK_RANGES, BLANKS
 from ratingloom.operators.normalise import clamp_rating, normalise
 from ratingloom.operators.validate import (
     REASONS,
@@ -157,3 +161,21 @@ def test_product_stream_equals_batch(spark, small, tmp_path):
     clean = spark.read.parquet(str(tmp_path / "out/clean"))
     corrupt = spark.read.parquet(str(tmp_path / "out/corrupted"))
     assert (clean.count(), corrupt.count()) == (20, 11)
+
+
+def test_tests_of_a_row_run_once(spark):
+    """Neither a filter on the reasons nor what joins them computes the tests anew."""
+    cells = row(user_id="u", parent_prod_id="a", purchased="1", rating="7")
+    checked = check_rows(spark.createDataFrame([cells], list(TRAIN.fields)), TRAIN)
+    bad = quarantined_rows(checked)
+    assert bad.first()["corruption_reasons"] == (
+        "user_id malformed; parent_prod_id malformed; purchased malformed; rating out of range"
+    )
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("purchased malformed") == plan.count("user_id malformed") == 1
+
+
+def test_blank_ranges_are_the_blanks():
+    """The class that patterns use holds the blanks and nothing else."""
+    inside = re.compile("[" + re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{int(m[1], 16):04x}", BLANK_RANGES) + "]")
+    assert [chr(c) for c in range(sys.maxunicode + 1) if inside.fullmatch(chr(c))] == sorted(BLANKS)
