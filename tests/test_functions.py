@@ -125,3 +125,13 @@ def test_whole_ratings_round_half_to_even(spark):
     assert all(r["w"] == r["e"] for r in found)
     clipped = rows.select(numbers.clip_rating(F.col("p")).alias("c")).collect()
     assert [r["c"] for r in clipped] == [2.5, 3.5, 1.0, 5.0, 4.4]
+
+
+def test_a_number_is_read_once(spark):
+    """Plain cells are cast as they stand, others read once."""
+    cells = [None, "", "7", "-0", "1.50", "+5", "1_000", "nan", "inf", "1.58E+12", "5.", "4 stars", "٣"]
+    rows = spark.createDataFrame([(c,) for c in cells], "c string")
+    done = rows.select(numbers.parse_number(F.col("c")).alias("n"))
+    expected = [0.0, 0.0, 7.0, -0.0, 1.5, 5.0, 1000.0, 0.0, float("inf"), 1.58e12, 5.0, 4.0, 3.0]
+    assert [r["n"] for r in done.collect()] == expected
+    assert done._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
