@@ -191,3 +191,34 @@ def test_scoring_reads_the_features_that_training_wrote(spark, monkeypatch):
     short = mlp.TrainConfig(epochs=1)
     monkeypatch.setattr(query_models, "fit_regressor", lambda *a, **k: fit(*a, **k, config=short))
     assert query_models.score_saved(spark, "none").count() == 300 and made == [1]
+
+
+def test_packed_rows_are_the_same_rows(monkeypatch):
+    """In blocks bounded by their bytes; an absent label stays absent."""
+    monkeypatch.setattr(mlp, "_BLOCK_BYTES", 32)  # four rows of two features
+    x = pa.array([[float(i), float(-i)] for i in range(10)], pa.list_(pa.float32()))
+    y = pa.array([None, *map(float, range(1, 10))], pa.float32())
+    whole = pa.RecordBatch.from_arrays([x, y], ["x", "y"])
+    packed = list(mlp._packed(iter([whole.slice(0, 7), whole.slice(7), whole.slice(0, 0)])))
+    assert [p.num_rows for p in packed] == [2, 1]
+    found = list(mlp._unpacked(iter(packed)))
+    np.testing.assert_array_equal(np.concatenate([mlp._matrix(b["x"]) for b in found]), mlp._matrix(x))
+    np.testing.assert_array_equal(np.concatenate([b["y"].to_numpy() for b in found]), [np.nan, *range(1, 10)])
+
+
+@pytest.mark.parametrize("norm", ["layer", "batch"])
+def test_passes_equal_the_plain_formula(norm):
+    """Also for inputs far out, and whatever the number of rows that go through at once."""
+    shape, rng = Shape(3, (5, 4), norm, dropout=0.0), np.random.default_rng(0)
+    params = [p.astype(np.float64) + rng.normal(size=p.shape) ** 2 for p in shape.start(1)]
+    rows = rng.normal(size=(1500, 3)) * 1e3
+    x = rows
+    for i in range(2):
+        w, b, gain, shift, mean, var = params[6 * i : 6 * i + 6]
+        z = x @ w + b
+        if norm == "layer":
+            mean, var = z.mean(1, keepdims=True), z.var(1, keepdims=True)
+        y = gain * (z - mean) / np.sqrt(var + 1e-5) + shift
+        x = y / (1 + np.exp(-y)) if norm == "layer" else np.maximum(y, 0)
+    plain = (x @ params[-2] + params[-1])[:, 0]
+    np.testing.assert_allclose(mlp._scored(shape, params, rows), plain, rtol=1e-9)
