@@ -9,8 +9,8 @@ from queries.registry import query
 from queries.views import SQL, view
 from ratingloom.checkpoints import scratch_path
 from ratingloom.operators.position import POS
-from ratingloom.operators.products import first_seen, lookup_products, merged_projection
-from ratingloom.plans.merging import merge_products
+from ratingloom.operators.products import first_seen, lookup_products
+from ratingloom.plans.merging import merge_numbers, merge_products
 from ratingloom.sinks.tables import write_merged, write_table
 from ratingloom.sources.csv_tables import scan_clean, scan_merged
 from ratingloom.sources.schema_file import TRAIN
@@ -51,6 +51,10 @@ def merged(spark: SparkSession, sf_dir: str, miss: str = "na") -> DataFrame:
     return merge_products(reviews(spark, sf_dir), products(spark, sf_dir), miss)
 
 
+def merged_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_numbers(reviews(spark, sf_dir), products(spark, sf_dir))
+
+
 @query(
     "product_first_seen",
     f"select parent_prod_id, id, {', '.join(PROD)} from ({FIRST_SQL}) f",
@@ -107,7 +111,7 @@ _MERGED_COLUMNS = (
 
 @query("merged_projection", f"select {_MERGED_COLUMNS} from ({merged_sql(chr(39) + 'NA' + chr(39))}) m")
 def merged_columns(spark, sf_dir):
-    return merged_projection(merged(spark, sf_dir))
+    return merged_numbers(spark, sf_dir)
 
 
 @query(
@@ -121,7 +125,7 @@ def merged_columns(spark, sf_dir):
 )
 def merged_csv_scan(spark, sf_dir):
     path = scratch_path(spark, "merged")
-    write_merged(merged_projection(merged(spark, sf_dir)), path, "csv")
+    write_merged(merged_numbers(spark, sf_dir), path, "csv")
     return scan_merged(spark, path)
 
 

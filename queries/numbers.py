@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queries.joining import merged, merged_sql
+from queries.joining import merged, merged_numbers, merged_sql
 from queries.registry import query
 from queries.views import LINE_ORDER, ORDER_SQL, SQL, table, view
 from ratingloom.checkpoints import scratch_path, stage
@@ -31,7 +31,6 @@ from ratingloom.operators.features import (
     with_row_ids,
 )
 from ratingloom.operators.position import number_rows, order_position
-from ratingloom.operators.products import merged_projection
 from ratingloom.operators.reports import (
     prediction_distribution,
     prediction_stats,
@@ -169,7 +168,7 @@ from m"""
 
 def scalar_features(spark: SparkSession, sf_dir: str, keep=("id",)) -> DataFrame:
     """Feature frame of the merged reviews, without text columns."""
-    rows = stage(merged_projection(merged(spark, sf_dir)), "merged")
+    rows = stage(merged_numbers(spark, sf_dir), "merged")
     return feature_frame(rows, fit_categories(rows), texts=(), keep=keep)
 
 

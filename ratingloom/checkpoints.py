@@ -33,11 +33,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once, now, and return a scan of what was written."""
+def stage(df: DataFrame, name: str, compact: bool = False) -> DataFrame:
+    """Write ``df`` once, now, and return a scan of what was written; ``compact`` spends some
+    more time on whole rows of text for fewer bytes."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", "zstd") if compact else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -101,7 +101,7 @@ def _looked_up_by_position(reviews: DataFrame, side: DataFrame, names: list[str]
     if POS in reviews.columns:
         rows, place = reviews, POS
     else:
-        rows, place = stage(reviews.withColumn("_r", F.monotonically_increasing_id()), "reviews"), "_r"
+        rows, place = stage(reviews.withColumn("_r", F.monotonically_increasing_id()), "reviews", compact=True), "_r"
     asked = rows.select(
         F.col(place).alias("_of"),
         F.inline(F.array(*[F.struct(F.lit(n).alias("_n"), F.col(k).alias("_asked")) for n, k in enumerate(_WAYS)])),
@@ -128,6 +128,15 @@ def merged_columns(df: DataFrame) -> list[str]:
     return kept + [c for c in df.columns if is_embedding_column(c)]
 
 
+def merged_inputs(reviews: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The columns of both that ``merged_projection`` needs, keys and positions included."""
+    from ratingloom.operators.features import is_embedding_column
+
+    core = [c for c in reviews.columns if c in (POS, *_WAYS, *MERGED_CORE) or is_embedding_column(c)]
+    kept = [c for c in products.columns if c in (POS, KEY) or f"prod_{c}" in MERGED_PRODUCT or is_embedding_column(c)]
+    return reviews.select(*core), products.select(*kept)
+
+
 def merged_projection(df: DataFrame) -> DataFrame:
     """Drop the texts and identifiers the model never sees."""
     return df.select(*merged_columns(df))

@@ -21,7 +21,7 @@ from ratingloom.operators.embed import (
     fit_encoder,
 )
 from ratingloom.operators.lookup import BROADCAST_BYTES, unique_lookup
-from ratingloom.operators.products import first_seen, lookup_products, merged_projection
+from ratingloom.operators.products import first_seen, lookup_products, merged_inputs, merged_projection
 
 # Text columns in the order their embeddings are written.
 WRITTEN_TEXTS = ("title", "comment", "prod_title", "prod_features")
@@ -126,6 +126,12 @@ def merge_products(reviews: DataFrame, products: DataFrame, miss: str = "na") ->
     return lookup_products(reviews, first_seen(products), miss)
 
 
+def merge_numbers(reviews: DataFrame, products: DataFrame, miss: str = "na") -> DataFrame:
+    """``merged_projection`` of ``merge_products``.  What it drops is left out ahead of the
+    lookup, whose exchanges and cuts would else carry the texts of all reviews."""
+    return merged_projection(merge_products(*merged_inputs(reviews, products), miss))
+
+
 def merge_with_embeddings(
     reviews: DataFrame,
     products: DataFrame,

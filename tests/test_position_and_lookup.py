@@ -14,7 +14,8 @@ from ratingloom.operators.position import (
     number_rows,
     row_position,
 )
-from ratingloom.operators.products import first_seen, lookup_products
+from ratingloom.operators.products import first_seen, lookup_products, merged_projection
+from ratingloom.plans import merging
 from ratingloom.operators import split as split_module
 from ratingloom.operators.split import train_size, train_val_split
 
@@ -145,3 +146,27 @@ def test_category_codes_both_ways(spark, monkeypatch):
     monkeypatch.setattr(features, "fits_broadcast", lambda df: False)
     large = {r["c"]: r["c_code"] for r in category_codes(df, "c").collect()}
     assert large == small
+
+
+def test_numbers_are_merged_without_the_texts(spark, monkeypatch):
+    """The same rows as a projection of the whole lookup, but no text of a review or product
+    reaches it."""
+    names = "id", "prod_id", "parent_prod_id", "title", "comment", "time", "votes", "purchased", "rating"
+    rows = [(str(i), f"k{i % 7}", f"k{i % 5}", "t", "c", "1", "2", "TRUE", "5") for i in range(40)]
+    reviews = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    kinds = "pos bigint, id string, parent_prod_id string, main_category string, price string, title string, store string, rating_number string"
+    products = spark.createDataFrame([(i, str(i), f"k{i % 3}", "m", f"${i}", "t", f"s{i}", "7") for i in range(6)], kinds)
+    given = []
+
+    def looked_up(left, right, miss):
+        given.extend([*left.columns, *right.columns])
+        return lookup_products(left, right, miss, limit=0)
+
+    monkeypatch.setattr(merging, "lookup_products", looked_up)
+    whole = merged_projection(merging.merge_products(reviews, products))
+    assert {"title", "comment"} < set(given)
+    given.clear()
+    numbers = merging.merge_numbers(reviews, products)
+    assert not {"title", "comment", "features", "user_id"} & set(given)
+    assert numbers.columns == whole.columns
+    assert sorted(map(tuple, numbers.collect())) == sorted(map(tuple, whole.collect()))
