@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from queries.joining import merged, products, reviews
+from queries.joining import merged_numbers, products, reviews
 from queries.numbers import _SCALARS, scalar_features
 from queries.registry import query
 from queries.views import SQL, table, view
@@ -159,7 +159,7 @@ def score_saved(spark, sf_dir):
 @query("train_and_score")
 def train_and_score(spark, sf_dir):
     """Merged reviews through training and scoring, dictionaries included."""
-    rows = stage(merged(spark, sf_dir), "merged")
+    rows = stage(merged_numbers(spark, sf_dir), "merged")
     run = train_ratings(rows, algo="linear", texts=(), order=rows.columns)
     return score_reviews(rows, run.model)
 

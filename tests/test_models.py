@@ -1,5 +1,7 @@
 """Regressors, training and scoring runs."""
 
+from unittest import mock
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -222,3 +224,15 @@ def test_passes_equal_the_plain_formula(norm):
         x = y / (1 + np.exp(-y)) if norm == "layer" else np.maximum(y, 0)
     plain = (x @ params[-2] + params[-1])[:, 0]
     np.testing.assert_allclose(mlp._scored(shape, params, rows), plain, rtol=1e-9)
+
+
+def test_train_and_score_merges_numbers_alone(spark, small, monkeypatch):
+    """No text of a review or product is cut, sorted or read by a run that trains on none."""
+    monkeypatch.setattr(query_models, "train_ratings", lambda rows, **_: mock.Mock(model=None))
+    monkeypatch.setattr(query_models, "score_reviews", lambda rows, model: rows)
+    rows = query_models.train_and_score(spark, small)
+    assert rows.count() == 6000
+    assert rows.columns == [
+        "id", "votes", "purchased", "time", "rating", "prod_price", "prod_rating_number", "prod_main_category",
+        "prod_store",
+    ]
