@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from ratingloom import checkpoints
 from ratingloom.plans.cleaning import strict_rows
 from ratingloom.sources import csv_records
 from ratingloom.sources.csv_records import read_csv_records, states_before
@@ -137,3 +138,14 @@ def test_filters_on_cells_do_not_parse_again(spark, tmp_path):
     assert [list(r) for r in rows.collect()] == [row]
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_csv(") == 1
+
+
+def test_records_are_cut_compactly(spark, tmp_path, monkeypatch):
+    """Whole rows of text wait as zstd between the scan and its readers, and come back as they were."""
+    cuts = str(tmp_path / "cuts")
+    monkeypatch.setattr(checkpoints, "shared_folder", lambda spark: cuts)
+    (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2,\n')
+    rows = scan_clean(spark, str(tmp_path / "t.csv"), pos=True)
+    assert sorted(map(tuple, rows.collect())) == [(0, "1", "x\ny"), (1, "2", "")]
+    parts = list((tmp_path / "cuts").glob("csv-records-*/*.parquet"))
+    assert parts and all(".zstd." in p.name for p in parts)
