@@ -226,6 +226,24 @@ def test_passes_equal_the_plain_formula(norm):
     np.testing.assert_allclose(mlp._scored(shape, params, rows), plain, rtol=1e-9)
 
 
+def test_dropout_draws_16_bits_a_place():
+    """The share and the mean are kept, and what the numbers are."""
+    drawn, rng = [], mock.Mock()
+    rng.bit_generator.random_raw = lambda n: drawn.append(n) or np.random.default_rng(0).bit_generator.random_raw(n)
+    keep = mlp._dropout(rng, 0.1, (99, 1001), np.dtype(np.float32))
+    assert sum(drawn) <= 99 * 1001 / 4 + 1
+    assert keep.dtype == np.float32 and keep.shape == (99, 1001) and len(np.unique(keep)) == 2
+    assert abs((keep == 0).mean() - 0.1) < 0.005 and abs(keep.mean() - 1) < 0.005
+
+
+def test_sides_are_hashed_once_for_all_passes(spark, small):
+    rows = query_models._ordered(spark, small)
+    train, val = query_models._sides(rows)
+    assert train.count() == int(0.8 * rows.count()) and train.count() + val.count() == rows.count()
+    for side in (train, val):
+        assert "md5" not in side._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_train_and_score_merges_numbers_alone(spark, small, monkeypatch):
     """No text of a review or product is cut, sorted or read by a run that trains on none."""
     monkeypatch.setattr(query_models, "train_ratings", lambda rows, **_: mock.Mock(model=None))
