@@ -46,7 +46,7 @@ BLOCK_TERMS, BLOCK_SOURCES = 4096, 128
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _HEAD, _WHOLE = 16, 8
 _FLUSH = 200_000
-_WORDS = "lang string, source string, terms array<struct<t: binary, p: bigint, n: int, d: int>>"
+_WORDS = "lang bigint, _g bigint, t binary, s int, p bigint, n int, d int"
 
 
 def term_heads(terms: pa.BinaryArray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -67,29 +67,27 @@ def term_heads(terms: pa.BinaryArray, opens: np.ndarray) -> tuple[np.ndarray, np
     return front.view(">i8").reshape(-1).astype(np.int64), shared
 
 
-def document_terms(docs: DataFrame) -> DataFrame:
-    """lang, source and, sorted, the distinct terms of each row: ``t``, its first eight bytes
-    as a number ``p``, its occurrences ``n`` and ``d``, the bytes it shares with the term before.
+def document_terms(rows: DataFrame) -> DataFrame:
+    """lang, _g and, sorted, the distinct terms of each row's text: ``t``, its bytes ``s``, the
+    first eight of them as a number ``p``, its occurrences ``n`` and ``d``, the bytes it shares
+    with the term before.
 
     Terms are runs of letters A-Z (lower-cased), a-z and all code points beyond ASCII.
     """
 
-    def packed(langs, sources, terms, counts, sizes) -> pa.RecordBatch:
-        ends = np.cumsum(sizes, dtype=np.int32)
-        begins = ends - sizes
+    def packed(langs, groups, terms, counts, sizes) -> pa.RecordBatch:
+        sizes = np.array(sizes, np.int32)
+        begins = np.cumsum(sizes, dtype=np.int32) - sizes
         terms = pa.array(terms, pa.binary())
-        heads, shared = term_heads(terms, begins[sizes > 0]) if len(terms) else (np.zeros(0, np.int64), np.zeros(0, np.int32))
-        parts = (terms, pa.array(heads), pa.array(counts, pa.int32()), pa.array(shared, pa.int32()))
-        lists = pa.ListArray.from_arrays(
-            pa.array(np.append(0, ends), pa.int32()), pa.StructArray.from_arrays(parts, ["t", "p", "n", "d"])
-        )
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(sources, pa.string()), lists], ["lang", "source", "terms"]
-        )
+        heads, shared = term_heads(terms, begins[sizes > 0])
+        lengths = np.diff(np.frombuffer(terms.buffers()[1], np.int32)[: len(terms) + 1])
+        columns = [np.repeat(np.array(ids, np.int64), sizes) for ids in (langs, groups)]
+        columns += [terms, lengths, heads, np.array(counts, np.int32), shared]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["lang", "_g", "t", "s", "p", "n", "d"])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            langs, groups = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             terms, counts, sizes, first = [], [], [], 0
             for i, text in enumerate(batch.column(2)):
                 found = Counter(_TERM.findall(text.as_buffer().to_pybytes().lower()))
@@ -98,13 +96,12 @@ def document_terms(docs: DataFrame) -> DataFrame:
                 counts += map(found.__getitem__, own)
                 sizes.append(len(own))
                 if len(terms) > _FLUSH:
-                    yield packed(langs[first : i + 1], sources[first : i + 1], terms, counts, np.array(sizes, np.int32))
+                    yield packed(langs[first : i + 1], groups[first : i + 1], terms, counts, sizes)
                     terms, counts, sizes, first = [], [], [], i + 1
-            if sizes:
-                yield packed(langs[first:], sources[first:], terms, counts, np.array(sizes, np.int32))
+            if terms:
+                yield packed(langs[first:], groups[first:], terms, counts, sizes)
 
-    rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    return rows.mapInArrow(made, _WORDS)
+    return rows.select("lang", "_g", "text").mapInArrow(made, _WORDS)
 
 
 def _prefix(at: int) -> Column:
@@ -121,8 +118,8 @@ def refine_prefixes(words: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame
     level prune the next one's rows where they measure small enough to broadcast; beyond
     that the level counts unpruned, and its threshold leaves the same.
     """
-    rows = words.select("lang", F.inline("terms")).drop("n")
-    size, at, before = F.octet_length("t"), FIRST_BYTES, None
+    rows = words.select("lang", "t", "s", "p", "d")
+    size, at, before = F.col("s"), FIRST_BYTES, None
     levels = []
     while True:
         longer = rows if before is None else rows.filter(size > at // 2)
@@ -197,20 +194,26 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP_
     value 0 if the language keeps no term.  An empty table gives no rows; columns beside
     lang, source and text are not looked at.
     """
-    read = stage(document_terms(docs), "terms")
+    docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
     # numbers stand for languages, groups and terms wherever occurrences are counted
-    names = stage(read.select(F.col("lang").alias("_name")).distinct().withColumn("_l", F.monotonically_increasing_id()), "names")
-    words = read.join(bounded_broadcast(names), F.col("lang") == F.col("_name")).select(F.col("_l").alias("lang"), "source", "terms")
+    held = stage(docs.select(F.col("lang").alias("_name"), F.col("source").alias("_of")).distinct(), "sources")
+    names = stage(held.select("_name").distinct().withColumn("_l", F.monotonically_increasing_id()), "names")
+    held = held.join(bounded_broadcast(names), "_name").withColumn("_g", F.monotonically_increasing_id())
+    held = stage(held, "groups")
+    groups = held.select(F.col("_l").alias("lang"), F.col("_of").alias("source"), "_g")
+    same = (F.col("lang") == F.col("_name")) & (F.col("source") == F.col("_of"))
+    rows = docs.join(bounded_broadcast(held), same).select(F.col("_l").alias("lang"), "_g", "text")
+    # a task has few groups, so that what it counts adds up to few numbers; large groups have many tasks
+    rows = rows.withColumn("_at", F.monotonically_increasing_id()).repartitionByRange("lang", "_g", "_at")
+    words = stage(document_terms(rows), "terms")
     kept = refine_prefixes(words, least)
-    groups = words.select("lang", "source").distinct().withColumn("_g", F.monotonically_increasing_id())
-    groups = stage(groups, "groups")
     terms = stage(row_position(kept, ["lang", "t"], "_no"), "numbered-terms")  # in the order of their bytes
 
     sizes = terms.groupBy("lang").agg(F.count("*").alias("_v"))
     sources = groups.groupBy("lang").agg(F.count("*").alias("_sources"))
     langs = stage(sources.join(sizes, "lang", "left").na.fill(0, ["_v"]), "languages")
 
-    rows = words.join(bounded_broadcast(groups), ["lang", "source"]).select("lang", "_g", F.inline("terms")).drop("d", "p")
+    rows = words.select("lang", "_g", "t", "n")
     if fits_broadcast(terms):
         counts = rows.join(F.broadcast(terms), ["lang", "t"]).groupBy("_g", "_no").agg(F.sum("n").alias("n"))
         counts = counts.join(bounded_broadcast(groups), "_g")

@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ratingloom.llm import chat, divergence, negatives
 
@@ -90,6 +91,28 @@ def test_audit_without_broadcasts_is_the_same(spark, monkeypatch):
     assert audited(spark, rows, 5) == brute_audit(rows, 5)
 
 
+def test_terms_lie_flat_and_by_group(spark, monkeypatch):
+    """A task that adds up occurrences meets few groups, and reads no column that it does not need."""
+    staged, write = {}, divergence.stage
+
+    def kept(df, name):
+        staged[name] = write(df, name)
+        return staged[name]
+
+    monkeypatch.setattr(divergence, "stage", kept)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        audited(spark, corpus(7, 400), 5)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    kinds = dict(staged["terms"].dtypes)
+    assert not any(kind.startswith(("array", "struct")) for kind in kinds.values())
+    parts = staged["terms"].select(F.input_file_name().alias("file"), "_g").distinct().collect()
+    files, groups = len({r["file"] for r in parts}), len({r["_g"] for r in parts})
+    assert files > 2 and groups > 8
+    assert len(parts) <= groups + files  # files of rows in any order hold nearly all groups each
+
+
 def test_audit_of_few_rows(spark):
     assert audited(spark, [], 10) == set()
     rows = [("en", "a", "x y"), ("en", "b", None), ("en", "c", "x")]
