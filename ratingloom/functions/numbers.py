@@ -18,10 +18,12 @@ def strip_number(c: Column) -> Column:
 
 
 def coerce_number(c: Column) -> Column:
-    """Keep digits, dots, minus signs and backslashes; what does not parse is 0.0."""
-    kept = F.regexp_replace(c, r"[^0-9.\-\\]", "")
+    """Keep digits, dots, minus signs and backslashes; what does not parse is 0.0.  Plain
+    numbers, dollar signs in front of them or not, need no replacing."""
+    plain = r"\A-?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z"
+    bare, kept = F.ltrim(c, F.lit("$")), F.regexp_replace(c, r"[^0-9.\-\\]", "")
     return F.coalesce(
-        F.when(kept.rlike(r"\A-?(?:[0-9]+\.?[0-9]*|\.[0-9]+)\z"), kept.try_cast("double")),
+        F.when(bare.rlike(plain), bare).when(kept.rlike(plain), kept).try_cast("double"),
         F.lit(0.0),
     )
 

@@ -2,6 +2,7 @@
 
 import csv
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -135,3 +136,14 @@ def test_a_number_is_read_once(spark):
     expected = [0.0, 0.0, 7.0, -0.0, 1.5, 5.0, 1000.0, 0.0, float("inf"), 1.58e12, 5.0, 4.0, 3.0]
     assert [r["n"] for r in done.collect()] == expected
     assert done._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
+
+
+def test_numbers_are_coerced_the_same_with_and_without_replacing(spark):
+    """Dollar signs anywhere, signs behind them, and texts that only look like numbers."""
+    cells = ["$5", "$$5", "$-5", "-$5", "5$", "$5$", "$.5", "$5.", "5", "-5.25", "1e5", "NaN", " 5", "5\n", "$5\n", "5d", "+5", "--5", "$", "", "-."]
+    cells += ["5.5.5", "1,234.5", "$1,234.5", "\\5", "$\\5"]
+    rows = spark.createDataFrame([(c,) for c in cells], "c string").select("c", numbers.coerce_number(F.col("c"))).collect()
+    for cell, value in rows:
+        kept = re.sub(r"[^0-9.\\-]", "", cell)
+        plain = re.fullmatch(r"-?(?:[0-9]+\.?[0-9]*|\.[0-9]+)", kept)
+        assert value == (float(kept) if plain else 0.0), cell
