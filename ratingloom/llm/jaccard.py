@@ -10,18 +10,23 @@ prefix tokens under each before it is verified on the whole sets.
 
 Verification takes place where candidates lie together: documents connected by prefix
 tokens form clusters, clusters are cut into blocks of bounded size, and every pair of a
-cluster's blocks is a task of its own.  A task returns links' counts and a spanning forest,
-never all pairs.
+cluster's blocks whose sets can be alike in size is a task of its own.  A task returns
+links' counts and a spanning forest, never all pairs.
+
+Prefix tokens shared by chance connect ever more documents as a corpus grows.  So of clusters
+too large for a block tasks first see only the front tokens that other sets have, which bound
+what a pair can share; whole sets go to the much smaller clusters that those bounds leave.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.checkpoints import stage
@@ -59,6 +64,14 @@ class Rule:
         """Whether sets of these sizes can be linked at all."""
         return 100 * np.minimum(a, b) >= self.percent * np.maximum(a, b)
 
+    def band(self, n: Column) -> Column:
+        """A number of a size; sets whose numbers differ by more than one cannot be linked."""
+        if self.percent < 1:
+            return F.lit(0)
+        # a little wider than need be: rounding puts no pair that ``sizes`` allows two bands apart
+        width = max(math.log(100 / self.percent), 0.01) * (1 + 1e-9)
+        return F.floor(F.log(n) / width).cast("int")
+
 
 def shingle_sets(texts: list[str], rule: Rule) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text.
@@ -125,7 +138,8 @@ def _sets(docs: DataFrame, rule: Rule, whole: bool) -> DataFrame:
 
 
 def _prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
-    """_key and, for each order, those tokens of its prefix that other sets have too.
+    """_key, _n and, for each order, those tokens of its prefix that other sets have too; all
+    front tokens that other sets have (_tokens) and the number of tokens behind the front (_rest).
 
     Tokens that no other set has rank first and use up places.  Order 0 ranks by frequency,
     order 1 by its power of two, each breaking ties by a hash of its own; behind the front
@@ -134,7 +148,7 @@ def _prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            keys, found = [], [[] for _ in range(_ORDERS)]
+            keys, sizes, rest, fronts, found = [], [], [], [], [[] for _ in range(_ORDERS)]
             columns = (batch[c] for c in ("_key", "_n", "_front", "_shared", "_df"))
             for key, n, front, shared, df in zip(*columns, strict=True):
                 tokens, df = np.asarray(shared, np.int64).view(np.uint64), np.asarray(df, np.int64)
@@ -144,13 +158,17 @@ def _prefixes(nodes: DataFrame, rule: Rule) -> DataFrame:
                     continue
                 near, far, often = tokens[ahead], tokens[~ahead], df[ahead]
                 keys.append(key)
+                sizes.append(n)
+                rest.append(n - front)
+                fronts.append(near.view(np.int64))
                 for k, rank in enumerate((often, np.log2(np.maximum(often, 1)).astype(int))):
                     order = np.lexsort((mixed(near + np.uint64(k)), rank))[:places]
                     found[k].append(np.concatenate((near[order], far)).view(np.int64))
-            yield pd.DataFrame({"_key": keys, **{f"_p{k}": found[k] for k in range(_ORDERS)}})
+            made_of = {"_key": keys, "_n": sizes, "_rest": rest, "_tokens": fronts}
+            yield pd.DataFrame(made_of | {f"_p{k}": found[k] for k in range(_ORDERS)})
 
     arrays = ", ".join(f"_p{k} array<bigint>" for k in range(_ORDERS))
-    return nodes.mapInPandas(made, f"_key bigint, {arrays}")
+    return nodes.mapInPandas(made, f"_key bigint, _n int, _rest int, _tokens array<bigint>, {arrays}")
 
 
 class _Postings:
@@ -182,10 +200,12 @@ def verified(block: pd.DataFrame, rule: Rule) -> list[tuple[int, int, int]]:
     """(node, node, links) of the sets in a task's blocks.
 
     A node's row with itself has the number of its links; rows with others are links that
-    join what no earlier row has joined.
+    join what no earlier row has joined.  Where ``_tokens`` lacks ``_rest`` of a set's own
+    tokens, as many may be shared with any other set: links are then those not ruled out.
     """
     sets = [np.asarray(t, np.int64) for t in block["_tokens"]]
     keys, side, n = block["_key"].tolist(), block["_side"].to_numpy(), block["_n"].to_numpy()
+    rest = block["_rest"].to_numpy() if "_rest" in block else np.zeros(len(keys), np.int64)
     cross = block["_i"].iloc[0] != block["_j"].iloc[0]  # though one side may have no rows
     orders = [[np.asarray(p, np.int64) for p in block[f"_p{k}"]] for k in range(_ORDERS)]
     prefix, full = [_Postings(p) for p in orders], None
@@ -203,7 +223,8 @@ def verified(block: pd.DataFrame, rule: Rule) -> list[tuple[int, int, int]]:
             continue
         if full is None:
             full = _Postings(sets)
-        near = near[rule.linked(full.shared(sets[i], near), n[near], n[i])]
+        most = full.shared(sets[i], near) + np.minimum(rest[near], rest[i])
+        near = near[rule.linked(most, n[near], n[i])]
         links[i] += len(near)
         links[near] += 1
         roots = parent[near]
@@ -215,8 +236,75 @@ def verified(block: pd.DataFrame, rule: Rule) -> list[tuple[int, int, int]]:
     return out + [(key, key, int(c)) for key, c in zip(keys, links, strict=True) if c]
 
 
-def _linked_nodes(docs: DataFrame, sets: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+def _blocks(clusters: DataFrame, sizes: DataFrame, rule: Rule) -> DataFrame:
+    """node, _large, _group, _side, _i and _j: what tasks see the nodes of ``clusters``.
+
+    Small clusters share a bin.  A large one has blocks of sets alike in size, of one band
+    several by hash where it holds much, and a task for each pair of blocks whose bands are
+    neighbours or the same.  ``sizes`` has _k, _n and _mass, the tokens that a task would see.
+    """
+    member = clusters.join(sizes, F.col("node") == F.col("_k")).select("node", "component", "_n", "_mass")
+    weight = member.groupBy(F.col("component").alias("_c")).agg(F.sum("_mass").alias("_all"))
+    fits = F.when(F.col("_all") <= BLOCK_TOKENS, F.col("_all"))
+    total, most = weight.agg(F.sum(fits), F.max("_all")).first()
+    bins = F.lit(max(1, -(-(total or 0) // BLOCK_TOKENS)))
+    weighed = member.join(weight, F.col("component") == F.col("_c"))
+    zero = F.lit(0).cast("bigint")
+    small = weighed.filter(F.col("_all") <= BLOCK_TOKENS).select(
+        "node", F.lit(False).alias("_large"), F.pmod(F.xxhash64("component"), bins).alias("_group"),
+        zero.alias("_side"), zero.alias("_i"), zero.alias("_j"),
+    )
+    if (most or 0) <= BLOCK_TOKENS:
+        return stage(small, "blocks")
+    large = weighed.filter(F.col("_all") > BLOCK_TOKENS).withColumn("_band", rule.band(F.col("_n")))
+    parts = F.ceil(F.sum("_mass") / BLOCK_TOKENS).cast("int")
+    bands = stage(large.groupBy(F.col("component").alias("_of"), F.col("_band").alias("_own")).agg(parts.alias("_parts")), "bands")
+    near = bands.withColumn("_near", F.explode(F.array(F.col("_own") - 1, "_own", F.col("_own") + 1))).join(
+        bands.select(F.col("_of").alias("_in"), F.col("_own").alias("_next"), F.col("_parts").alias("_sides")),
+        (F.col("_of") == F.col("_in")) & (F.col("_near") == F.col("_next")),
+    )
+    side = F.pmod(F.xxhash64("node"), F.col("_parts"))
+    placed = (
+        large.join(bounded_broadcast(near), (F.col("component") == F.col("_of")) & (F.col("_band") == F.col("_own")))
+        .withColumn("_side", F.shiftleft(F.col("_band").cast("bigint"), 32) + side)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_sides") - 1)))
+        .withColumn("_other", F.shiftleft(F.col("_near").cast("bigint"), 32) + F.col("_other"))
+        .select(
+            "node", F.lit(True).alias("_large"), F.col("component").alias("_group"), "_side",
+            F.least("_side", "_other").alias("_i"), F.greatest("_side", "_other").alias("_j"),
+        )
+    )
+    return stage(small.unionByName(placed), "blocks")
+
+
+def _found(sets: DataFrame, placed: DataFrame, rule: Rule, name: str) -> DataFrame:
     """(_a, _b, _links) as tasks over pairs of blocks find them."""
+    tasks = sets.join(placed, F.col("_key") == F.col("node")).drop("node")
+
+    def checked(block: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(verified(block, rule), columns=["_a", "_b", "_links"])
+
+    found = tasks.groupBy("_large", "_group", "_i", "_j").applyInPandas(
+        checked, "_a bigint, _b bigint, _links bigint"
+    )
+    return stage(found, name)
+
+
+def _close(clusters: DataFrame, prefixes: DataFrame, rule: Rule) -> DataFrame:
+    """``clusters``, of those too large for a block only what front tokens do not tell apart."""
+    sizes = prefixes.select(F.col("_key").alias("_k"), "_n", (F.size("_tokens") + 1).alias("_mass"))
+    weight = clusters.join(sizes, F.col("node") == F.col("_k")).groupBy(F.col("component").alias("_c")).agg(F.sum("_n").alias("_all"))
+    large = stage(weight.filter(F.col("_all") > BLOCK_TOKENS).select("_c"), "large")
+    if large.isEmpty():
+        return clusters
+    member, few = F.col("component") == F.col("_c"), bounded_broadcast(large)
+    near = _found(prefixes, _blocks(clusters.join(few, member, "left_semi"), sizes, rule), rule, "candidates")
+    close = components(near.select(F.col("_a").alias("a"), F.col("_b").alias("b")), "close")
+    return stage(clusters.join(few, member, "left_anti").unionByName(close), "close")
+
+
+def _linked_nodes(docs: DataFrame, sets: DataFrame, reps: DataFrame, rule: Rule) -> DataFrame:
+    """(_a, _b, _links) of all sets that are linked."""
     rows = reps.select("_key", F.explode("_tokens").alias("_token"))
     df = rows.groupBy(F.col("_token").alias("_t")).agg(F.count("*").alias("_df")).filter("_df > 1")
     shared = rows.join(df, F.col("_token") == F.col("_t")).groupBy("_key").agg(
@@ -230,40 +318,16 @@ def _linked_nodes(docs: DataFrame, sets: DataFrame, reps: DataFrame, rule: Rule)
     heads = lists.groupBy(F.col("_token").alias("_t")).agg(F.min("_key").alias("_head"))
     edges = lists.join(heads, F.col("_token") == F.col("_t")).filter("_key != _head")
     clusters = stage(components(edges.select(F.col("_key").alias("a"), F.col("_head").alias("b")).distinct(), "clusters"), "clusters")
-    member = clusters.join(sized, F.col("node") == F.col("_k")).select("node", "component", "_id", "_n")
-    weight = member.groupBy(F.col("component").alias("_c")).agg(F.sum("_n").alias("_mass"))
-    total = weight.filter(F.col("_mass") <= BLOCK_TOKENS).agg(F.sum("_mass")).first()[0] or 0
-    bins = F.lit(max(1, -(-total // BLOCK_TOKENS)))
-    # small clusters share a bin; a large one has blocks and a group for each pair of them
-    parts = F.ceil(F.col("_mass") / BLOCK_TOKENS).cast("int")
-    placed = (
-        member.join(weight, F.col("component") == F.col("_c"))
-        .withColumn("_parts", parts)
-        .withColumn("_side", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .select(
-            "node", "_id", "_side",
-            F.when(F.col("_parts") == 1, F.pmod(F.xxhash64("component"), bins)).otherwise(F.col("component")).alias("_group"),
-            F.col("_parts").alias("_cut"),
-            F.least("_side", "_other").alias("_i"), F.greatest("_side", "_other").alias("_j"),
-        )
-    )
-    placed = stage(placed, "blocks")
+    close = _close(clusters, prefixes, rule)
+    placed = _blocks(close, sized.select("_k", "_n", F.col("_n").alias("_mass")), rule)
     # the whole sets of these documents alone, made again from their texts
-    wanted = stage(placed.select(F.col("_id").alias("_w")).distinct(), "wanted")
+    wanted = close.join(sized, F.col("node") == F.col("_k")).select(F.col("_id").alias("_w")).distinct()
     texts = docs.select("doc_id", "text")
-    texts = texts.join(bounded_broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("_w")), "left_semi")
+    texts = texts.join(bounded_broadcast(stage(wanted, "wanted")), F.col("doc_id").eqNullSafe(F.col("_w")), "left_semi")
     whole = _sets(texts, rule, whole=True).select("_key", "_n", "_tokens").dropDuplicates(["_key"])
-    whole = whole.join(prefixes.withColumnRenamed("_key", "_k"), F.col("_key") == F.col("_k")).drop("_k")
-    tasks = whole.join(placed.drop("_id"), F.col("_key") == F.col("node")).drop("node")
-
-    def checked(block: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(verified(block, rule), columns=["_a", "_b", "_links"])
-
-    found = tasks.groupBy("_cut", "_group", "_i", "_j").applyInPandas(
-        checked, "_a bigint, _b bigint, _links bigint"
-    )
-    return stage(found, "links")
+    orders = prefixes.select(F.col("_key").alias("_k"), *[f"_p{k}" for k in range(_ORDERS)])
+    whole = whole.join(orders, F.col("_key") == F.col("_k")).drop("_k")
+    return _found(whole, placed, rule, "links")
 
 
 def join_similar(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:  # noqa: B008

@@ -174,6 +174,39 @@ def test_links_count_once_where_a_side_is_empty(spark, monkeypatch):
     assert [x["n_links"] for x in found] == [1, 1]
 
 
+def test_chance_passages_send_no_whole_sets(spark, monkeypatch):
+    r = random.Random(11)
+    words = [[f"{r.randrange(10**6):06d}" for _ in range(r.choice((60, 90, 140)))] for _ in range(80)]
+    for one, two in zip(words, words[1:], strict=False):  # prefixes connect them, nothing is linked
+        two[:30] = one[-30:]
+    rows = [(i, " ".join(w)) for i, w in enumerate(words)]
+    rows += [(100 + i, rows[i][1] + " more") for i in (3, 40)]
+    seen = []
+
+    def recorded(df, name, staged=jaccard.stage, **how):
+        seen.append((name, staged(df, name, **how)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(jaccard, "stage", recorded)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 300)
+    found = jaccard.join_similar(frame(spark, rows)).collect()
+    assert sorted((x["doc_id"], x["n_shingles"], x["component_id"]) for x in found) == brute_join(rows)
+    assert {x["doc_id"]: x["n_links"] for x in found if x["n_links"]} == {3: 1, 103: 1, 40: 1, 140: 1}
+    clusters = [df for name, df in seen if name == "clusters"][-1]
+    assert clusters.count() > 50
+    whole = [df for name, df in seen if name == "blocks"][-1]
+    assert whole.count() < clusters.count()  # once each at most, whatever the clusters' size
+
+
+def test_bands_part_no_sizes_that_a_rule_links(spark):
+    for percent in (0, 1, 50, 85, 99, 100):
+        rule = jaccard.Rule(percent=percent)
+        band = dict(spark.range(1, 3000).select("id", rule.band(jaccard.F.col("id"))).collect())
+        for a in range(1, 3000, 7):
+            most = max(b for b in range(a, 3000) if rule.sizes(a, b))
+            assert abs(band[most] - band[a]) <= 1
+
+
 def test_join_with_very_many_copies_of_a_row(spark):
     r = random.Random(10)
     text = " ".join(f"w{i}" for i in range(30))
